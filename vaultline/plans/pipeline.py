@@ -23,16 +23,19 @@ RUN_ID = "run-local"
 
 def bronze(spark: SparkSession, sf: str, table: str) -> DataFrame:
     """Current bronze rows of a source (hints, contract columns, derived keys, replay removal)."""
-    return prepare_source(fx.source(spark, sf, table), table)
+    return fx.memo(spark, sf, ("bronze", table),
+                   lambda: prepare_source(fx.source(spark, sf, table), table))
 
 
 def assessed(spark: SparkSession, sf: str, table: str) -> DataFrame:
-    b = bronze(spark, sf, table)
-    return Q.assess(b, table, current=b, as_of=RUN_CLOCK)
+    def build():
+        b = bronze(spark, sf, table)
+        return Q.assess(b, table, current=b, as_of=RUN_CLOCK)
+    return fx.memo(spark, sf, ("assessed", table), build)
 
 
 def validated(spark: SparkSession, sf: str, table: str) -> DataFrame:
-    return Q.validated(assessed(spark, sf, table))
+    return fx.memo(spark, sf, ("validated", table), lambda: Q.validated(assessed(spark, sf, table)))
 
 
 def quarantine(spark: SparkSession, sf: str, table: str, with_timestamp: bool = False) -> DataFrame:
@@ -40,7 +43,11 @@ def quarantine(spark: SparkSession, sf: str, table: str, with_timestamp: bool =
 
 
 def silver(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """Any silver table by name."""
+    """Any silver table by name (memoised per session and sf_dir)."""
+    return fx.memo(spark, sf, ("silver", name), lambda: _silver(spark, sf, name))
+
+
+def _silver(spark: SparkSession, sf: str, name: str) -> DataFrame:
     if name in S.SPECS:
         spec = S.SPECS[name]
         return S.project(validated(spark, sf, spec.source), spec)
