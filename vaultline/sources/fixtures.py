@@ -396,7 +396,7 @@ FROM card
 FIXTURES["card_fraud_flag"] = f"""
 SELECT
   'CFF-' || CAST(card_txn_id AS STRING) AS flag_id,
-  CASE WHEN card_txn_id % 1000 = 310 THEN CAST(-1 AS BIGINT) ELSE card_txn_id END AS card_txn_id,
+  CASE WHEN card_txn_id % 1000 = 311 THEN CAST(-1 AS BIGINT) ELSE card_txn_id END AS card_txn_id,
   CASE WHEN is_fraud THEN 'CONFIRMED_FRAUD' ELSE 'VELOCITY' END AS flag_reason,
   CAST(txn_timestamp AS DATE) + 1 AS flag_date,
   CASE WHEN card_txn_id % 3 = 0 THEN 'OPEN' ELSE 'RESOLVED' END AS resolved_status,
@@ -601,12 +601,12 @@ FIXTURES["chargeback"] = f"""
 SELECT
   'CHB-' || CAST(card_txn_id AS STRING) AS chargeback_id,
   card_txn_id,
-  CASE WHEN card_txn_id % 1000 = 150 THEN 'UNKNOWN' WHEN card_txn_id % 2 = 0 THEN '4837' ELSE '4853' END
+  CASE WHEN card_txn_id % 1000 = 125 THEN 'UNKNOWN' WHEN card_txn_id % 2 = 0 THEN '4837' ELSE '4853' END
     AS reason_code,
   amount AS dispute_amount,
   CAST(txn_timestamp AS DATE) + 15 AS filed_date,
   CASE WHEN card_txn_id % 3 = 0 THEN 'RESOLVED' ELSE 'OPEN' END AS status,
-  CASE WHEN card_txn_id % 3 = 0 AND card_txn_id % 90 <> 0 THEN CAST(txn_timestamp AS DATE) + 45 END
+  CASE WHEN card_txn_id % 3 = 0 AND card_txn_id % 45 <> 0 THEN CAST(txn_timestamp AS DATE) + 45 END
     AS resolved_date,
   {BD} AS business_date
 FROM card_transaction WHERE card_txn_id % 25 = 0
