@@ -306,3 +306,4 @@ register("dq_failed_rule_names", _s)(_b)
 from vaultline.plans import q_cdc  # noqa: E402,F401
 from vaultline.plans import q_contract  # noqa: E402,F401
 from vaultline.plans import q_identity  # noqa: E402,F401
+from vaultline.plans import q_mask  # noqa: E402,F401
