@@ -307,3 +307,6 @@ from vaultline.plans import q_cdc  # noqa: E402,F401
 from vaultline.plans import q_contract  # noqa: E402,F401
 from vaultline.plans import q_identity  # noqa: E402,F401
 from vaultline.plans import q_mask  # noqa: E402,F401
+from vaultline.plans import q_ingest  # noqa: E402,F401
+from vaultline.plans import q_reconcile  # noqa: E402,F401
+from vaultline.plans import q_monitor  # noqa: E402,F401

@@ -675,6 +675,54 @@ SELECT
 FROM lineitem
 """
 
+# Pipeline event log (monitoring input) derived from the event stream:
+# signup -> create_update, view / error -> update_progress, others ->
+# flow_progress with metrics and expectation results in the JSON details.
+_FLOW = ("CASE event_id % 6 WHEN 0 THEN 'lake.bronze.account_transaction' "
+         "WHEN 1 THEN 'lake.silver_validated.card' WHEN 2 THEN 'lake.silver.financial_event' "
+         "WHEN 3 THEN 'lake.gold.ai_fraud_transaction_context' "
+         "WHEN 4 THEN 'lake.governance.silver_quarantine_record' "
+         "ELSE 'pipelines.flowTimeMetrics.missingFlowName' END")
+_N = "CAST(FLOOR(value) AS BIGINT)"
+FIXTURES["pipeline_event_log"] = f"""
+SELECT
+  event_id,
+  CASE event_type WHEN 'signup' THEN 'create_update' WHEN 'view' THEN 'update_progress'
+       WHEN 'error' THEN 'update_progress' ELSE 'flow_progress' END AS event_type,
+  ts AS timestamp,
+  'PL-' || CAST(user_id % 3 AS STRING) AS origin_pipeline_id,
+  'banking_pipeline_' || CAST(user_id % 3 AS STRING) AS origin_pipeline_name,
+  'U-' || CAST(user_id AS STRING) AS origin_update_id,
+  {_FLOW} AS origin_flow_name,
+  CASE WHEN event_type = 'signup' THEN '{{"create_update": {{"cause": "JOB_TASK"}}}}'
+       WHEN event_type IN ('view', 'error') THEN '{{"update_progress": {{"state": "' ||
+         CASE WHEN event_type = 'error' THEN 'FAILED' WHEN event_id % 4 = 0 THEN 'RUNNING' ELSE 'COMPLETED' END
+         || '"}}}}'
+       ELSE '{{"flow_progress": {{"status": "' ||
+         CASE event_id % 3 WHEN 0 THEN 'RUNNING' WHEN 1 THEN 'COMPLETED' ELSE 'FAILED' END ||
+         '", "metrics": {{"num_output_rows": ' || CAST({_N} AS STRING) ||
+         ', "num_upserted_rows": ' || CAST({_N} % 7 AS STRING) ||
+         ', "num_deleted_rows": ' || CAST(event_id % 2 AS STRING) ||
+         '}}, "data_quality": {{"dropped_records": ' || CAST(event_id % 3 AS STRING) ||
+         ', "expectations": [{{"name": "rule_' || CAST(event_id % 4 AS STRING) || '", "dataset": "' || {_FLOW} ||
+         '", "passed_records": ' || CAST({_N} AS STRING) || ', "failed_records": ' || CAST(event_id % 5 AS STRING) ||
+         '}}]}}}}}}'
+  END AS details
+FROM events
+"""
+
+# Append-only run ledger events: every signup starts a run; most runs
+# finish ten minutes later, every fifth one is left RUNNING.
+FIXTURES["pipeline_run_event"] = f"""
+SELECT 'R-' || CAST(event_id AS STRING) AS pipeline_run_id, 'PL-' || CAST(user_id % 3 AS STRING) AS pipeline_id,
+  CAST(ts AS DATE) AS business_date, 'RUNNING' AS execution_status, ts AS event_time
+FROM events WHERE event_type = 'signup'
+UNION ALL
+SELECT 'R-' || CAST(event_id AS STRING), 'PL-' || CAST(user_id % 3 AS STRING), CAST(ts AS DATE),
+  CASE WHEN event_id % 7 = 0 THEN 'FAILED' ELSE 'SUCCEEDED' END, ts + INTERVAL '600' SECOND
+FROM events WHERE event_type = 'signup' AND event_id % 5 <> 0
+"""
+
 FIXTURE_NAMES = tuple(FIXTURES)
 _IDENT = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
