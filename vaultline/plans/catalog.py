@@ -204,6 +204,7 @@ ALL_TABLES = list(TABLES)
 
 
 def _dq_rule_counts(spark, sf):
+    P.assess_all(spark, sf, ALL_TABLES)
     parts = []
     for t in ALL_TABLES:
         a = P.assessed(spark, sf, t)
@@ -227,6 +228,7 @@ register("dq_rule_counts", _dq_rule_counts_sql())(_dq_rule_counts)
 
 
 def _dq_split_counts(spark, sf):
+    P.assess_all(spark, sf, ALL_TABLES)
     return reduce(lambda x, y: x.unionByName(y),
                   [QU.split_counts(P.assessed(spark, sf, t), t) for t in ALL_TABLES])
 
@@ -249,6 +251,7 @@ QUARANTINE_COLS = ["source_table_name", "source_business_key", "bronze_record_re
 
 
 def _dq_quarantine_records(spark, sf):
+    P.assess_all(spark, sf, ALL_TABLES)
     return reduce(lambda x, y: x.unionByName(y),
                   [P.quarantine(spark, sf, t).select(*QUARANTINE_COLS) for t in ALL_TABLES])
 

@@ -27,11 +27,80 @@ def bronze(spark: SparkSession, sf: str, table: str) -> DataFrame:
                    lambda: prepare_source(fx.source(spark, sf, table), table))
 
 
-def assessed(spark: SparkSession, sf: str, table: str) -> DataFrame:
+def _table_root(spark: SparkSession, sf: str) -> str:
+    """Run-scoped folder for published tables, under the shared checkpoint
+    directory the cluster configures (a scratch folder only when unset)."""
+    from vaultline.session import checkpoint_dir
+
+    def build():
+        import hashlib
+        tag = hashlib.sha1(f"{sf}|{spark.sparkContext.applicationId}".encode()).hexdigest()[:12]
+        return f"{checkpoint_dir(spark).rstrip('/')}/vaultline-tables/{tag}"
+    return fx.memo(spark, sf, ("table_root",), build)
+
+
+def publish(spark: SparkSession, sf: str, kind: str, name: str, build) -> DataFrame:
+    """Compute a table ONCE per run: write it to the run folder and read it
+    back.  Downstream queries scan the written table instead of re-running
+    its lineage (and a lost executor only loses work since the write).
+    Set ``vaultline.materialize=false`` to keep everything lazy."""
+    def do():
+        df = build()
+        if not _materialize(spark):
+            return df
+        path = f"{_table_root(spark, sf)}/{kind}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    return fx.memo(spark, sf, ("published", kind, name), do)
+
+
+def _materialize(spark: SparkSession) -> bool:
+    return spark.conf.get("vaultline.materialize", "true").lower() == "true"
+
+
+def publish_many(spark: SparkSession, sf: str, kind: str, builds: dict) -> None:
+    """Publish several independent tables at once: plans are built on the
+    driver one after the other, then the writes are submitted as
+    concurrent Spark jobs so small tables share the cluster instead of
+    queueing behind each other."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    cache = fx._cache(spark, sf)
+    todo = {n: b() for n, b in builds.items() if ("published", kind, n) not in cache}
+    if not todo:
+        return
+    if not _materialize(spark):
+        for n, df in todo.items():
+            cache[("published", kind, n)] = df
+        return
+    root = _table_root(spark, sf)
+
+    def write(item):
+        n, df = item
+        df.write.mode("overwrite").parquet(f"{root}/{kind}/{n}")
+
+    with ThreadPoolExecutor(max_workers=min(8, len(todo))) as pool:
+        list(pool.map(write, todo.items()))
+    for n in todo:
+        cache[("published", kind, n)] = spark.read.parquet(f"{root}/{kind}/{n}")
+
+
+def _assess_build(spark: SparkSession, sf: str, table: str):
     def build():
         b = bronze(spark, sf, table)
         return Q.assess(b, table, current=b, as_of=RUN_CLOCK)
-    return fx.memo(spark, sf, ("assessed", table), build)
+    return build
+
+
+def assess_all(spark: SparkSession, sf: str, tables) -> None:
+    """Publish the assessments of several sources concurrently."""
+    publish_many(spark, sf, "assessed", {t: _assess_build(spark, sf, t) for t in tables})
+
+
+def assessed(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    """Assessment of a source, published once per run; validated rows and
+    quarantine records are both cheap projections of it."""
+    return publish(spark, sf, "assessed", table, _assess_build(spark, sf, table))
 
 
 def validated(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -44,9 +113,16 @@ def quarantine(spark: SparkSession, sf: str, table: str, with_timestamp: bool =
 
 def silver(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """Any silver table by name (memoised per session and sf_dir)."""
+    if name in PUBLISHED_SILVER:
+        return publish(spark, sf, "silver", name, lambda: _silver(spark, sf, name))
     return fx.memo(spark, sf, ("silver", name), lambda: _silver(spark, sf, name))
 
 
+# Silver tables built by joins are published (computed once per run);
+# single-source projections stay lazy views over the published assessment.
+PUBLISHED_SILVER = ("financial_event", "party", "party_account_role")
+
+
 def _silver(spark: SparkSession, sf: str, name: str) -> DataFrame:
     if name in S.SPECS:
         spec = S.SPECS[name]
@@ -85,7 +161,20 @@ JOINED_SILVER = ("party", "party_identifier", "party_profile_version", "party_ac
 SILVER_TABLES = tuple(S.SPECS) + JOINED_SILVER
 
 
+FRAUD_SOURCES = ("account_transaction", "card_transaction", "log_atm", "payment_gateway_log", "card",
+                 "customer_account", "core_banking_customer", "transaction_channel", "merchant", "merchant_store",
+                 "account_transaction_risk_score", "fraud_alert", "card_fraud_flag")
+C360_SOURCES = ("core_banking_customer", "crm_customer", "account_transaction", "customer_kyc", "customer_employment",
+                "customer_account", "account", "balance_snapshot", "card", "customer_request", "call_center_log",
+                "aml_case", "investigation_case")
+AML_SOURCES = ("investigation_case", "aml_case", "suspicious_activity_report", "investigation_case_sanction_screening",
+               "sanction_screening", "watchlist", "investigation_case_fraud_alert",
+               "investigation_case_transaction_monitoring_alert", "investigation_case_account_transaction",
+               "investigation_case_card_transaction", "investigation_note")
+
+
 def gold_fraud(spark: SparkSession, sf: str) -> DataFrame:
+    assess_all(spark, sf, FRAUD_SOURCES)
     s = lambda n: silver(spark, sf, n)
     return G.fraud_transaction_context(
         s("financial_event"), s("account_posting"), s("card_payment"), s("atm_activity"), s("gateway_payment"),
@@ -94,6 +183,7 @@ def gold_fraud(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_customer_360(spark: SparkSession, sf: str) -> DataFrame:
+    assess_all(spark, sf, C360_SOURCES)
     s = lambda n: silver(spark, sf, n)
     return G.customer_360_context(
         s("party"), s("party_profile_version"), s("party_kyc_assessment"), s("party_employment"),
@@ -103,6 +193,7 @@ def gold_customer_360(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_aml(spark: SparkSession, sf: str) -> DataFrame:
+    assess_all(spark, sf, AML_SOURCES)
     s = lambda n: silver(spark, sf, n)
     return G.aml_investigation_context(
         s("investigation_case"), s("aml_case"), s("suspicious_activity_report"),

@@ -769,11 +769,23 @@ def register_base(spark: SparkSession, sf_dir: str) -> dict:
     cache = _cache(spark, sf_dir)
     if "__base__" not in cache:
         for t in BASE_TABLES:
-            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+            spread(spark, spark.read.parquet(f"{sf_dir}/{t}.parquet")).createOrReplaceTempView(t)
         cache["__base__"] = True
     return cache
 
 
+def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """A scan with fewer input splits than the cluster has cores (e.g. one
+    parquet file with a single row group) is spread round-robin so the
+    per-row work after it (hashing, JSON, casts) runs on every core.  Large
+    inputs already have enough splits and are left untouched (no extra
+    shuffle at scale)."""
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def load(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     """Build the named source views (and what they depend on) in Spark."""
     from vaultline.session import configure
@@ -782,11 +794,45 @@ def load(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     cache = register_base(spark, sf_dir)
     for n in closure(names):
         if n not in cache:
-            cache[n] = spark.sql(FIXTURES[n])
+            df = spark.sql(_bind_counts(spark, cache, FIXTURES[n]))
+            if n in shared_fixtures() and spark.conf.get("vaultline.materialize", "true").lower() == "true":
+                df = _land(spark, sf_dir, n, df)
+            cache[n] = df
             cache[n].createOrReplaceTempView(n)
     return [cache[n] for n in names]
 
 
+def shared_fixtures() -> set[str]:
+    """Source views other source views are derived from."""
+    return {d for n in FIXTURES for d in dependencies(n)}
+
+
+def _land(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
+    """Land a shared source once per run in the run folder (under the
+    shared checkpoint directory) so its dependents scan it instead of
+    recomputing it."""
+    import hashlib
+
+    from vaultline.session import checkpoint_dir
+
+    tag = hashlib.sha1(f"{sf_dir}|{spark.sparkContext.applicationId}".encode()).hexdigest()[:12]
+    path = f"{checkpoint_dir(spark).rstrip('/')}/vaultline-tables/{tag}/landing/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _bind_counts(spark: SparkSession, cache: dict, sql: str) -> str:
+    """Replace the row-count scalar subqueries by their value (one number per
+    table, computed once per run) so the Spark plan carries a literal."""
+    for sub, table in ((NSUPP, "supplier"), (NORD, "orders"), (NCUST, "customer")):
+        if sub in sql:
+            key = ("__count__", table)
+            if key not in cache:
+                cache[key] = spark.table(table).count()
+            sql = sql.replace(sub, f"CAST({cache[key]} AS BIGINT)")
+    return sql
+
+
 def memo(spark: SparkSession, sf_dir: str, key, build):
     """Memoise a derived DataFrame for this (session, sf_dir)."""
     cache = _cache(spark, sf_dir)
