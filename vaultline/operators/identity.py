@@ -175,3 +175,76 @@ def orphan_summary(unresolved_by_entity: dict[str, DataFrame]) -> DataFrame:
         F.sum(reduce(lambda a, b: a + b, [F.col(c) for c in counts])).alias("total_orphan_records"))
     return summary.select(F.coalesce("orphan_population", F.lit("ALL_ORPHAN_CUSTOMER_REFERENCES"))
                           .alias("orphan_population"), *summary.columns[1:])
+
+
+# ----------------------------------------------------- as-of-date variant
+def crosswalk_as_of(core: DataFrame, crm: DataFrame, as_of_date: str) -> DataFrame:
+    """Per snapshot date: source customer key -> party, only where the
+    normalised national id has at most one key in each source.  Counts
+    come from a grouped aggregate joined back (null-safe on the id)."""
+    d = F.to_date(F.lit(as_of_date))
+
+    def one(df, key, system):
+        return df.filter(F.col("business_date") == d).select(
+            F.col("business_date").alias("as_of_date"), F.lit(system).alias("source_system"),
+            F.col(key).alias("source_customer_key"),
+            F.upper(F.trim("national_id")).alias("national_id_normalized"))
+
+    keys = one(core, "cust_no", "CORE_BANKING").unionByName(one(crm, "party_id", "CRM"))
+    counts = keys.groupBy(F.col("as_of_date").alias("_d"), F.col("national_id_normalized").alias("_n")).agg(
+        F.count_if(F.col("source_system") == "CORE_BANKING").alias("core_candidates"),
+        F.count_if(F.col("source_system") == "CRM").alias("crm_candidates"))
+    j = keys.join(counts, (F.col("as_of_date") == F.col("_d"))
+                  & F.col("national_id_normalized").eqNullSafe(F.col("_n")))
+    j = j.filter((F.col("core_candidates") <= 1) & (F.col("crm_candidates") <= 1))
+    status = (F.when((F.col("core_candidates") == 1) & (F.col("crm_candidates") == 1), F.lit("CONFIRMED_CORE_CRM"))
+              .when((F.col("core_candidates") == 1) & (F.col("crm_candidates") == 0), F.lit("CORE_ONLY"))
+              .when((F.col("core_candidates") == 0) & (F.col("crm_candidates") == 1), F.lit("CRM_ONLY"))
+              .otherwise(F.lit("QUARANTINE_REQUIRED")))
+    return j.select("as_of_date", token("CUSTOMER_360", F.col("national_id_normalized")).alias("party_key"),
+                    "source_system", "source_customer_key", status.alias("resolution_status"))
+
+
+def kyc_as_of(kyc: DataFrame, xref: DataFrame) -> DataFrame:
+    """KYC rows with their candidate count against the crosswalk of the
+    same date (crosswalk pre-aggregated per key: no fan-out)."""
+    x = xref.groupBy(F.col("as_of_date").alias("_d"), F.col("source_customer_key").alias("_k")).agg(
+        F.count("party_key").alias("candidate_count"), F.min("party_key").alias("party_key"))
+    k = kyc.select(F.col("business_date").alias("as_of_date"), "kyc_id", "customer_ref", "id_type", "id_number",
+                   "verification_status", "verified_date")
+    j = k.join(x, (F.col("as_of_date") == F.col("_d")) & (F.col("customer_ref") == F.col("_k")), "left")
+    return j.select("as_of_date", "kyc_id", "customer_ref", "id_type", "id_number", "verification_status",
+                    "verified_date", F.when(F.col("candidate_count") == 1, F.col("party_key")).alias("party_key"),
+                    F.coalesce("candidate_count", F.lit(0)).alias("candidate_count"))
+
+
+def customer_360_snapshot(xref: DataFrame, core: DataFrame, crm: DataFrame, kyc_candidates: DataFrame) -> DataFrame:
+    """One row per (as_of_date, party): core and CRM attributes side by side,
+    latest resolved KYC (verified_date desc nulls last, kyc_id desc) and
+    the KYC record count - all per-party aggregates, joined once."""
+    resolved = kyc_candidates.filter(F.col("candidate_count") == 1)
+    kyc = resolved.groupBy("as_of_date", "party_key").agg(
+        F.max_by(F.struct("kyc_id", "id_type", "verification_status", "verified_date"),
+                 F.struct(F.col("verified_date").isNotNull(), "verified_date", "kyc_id")).alias("_k"),
+        F.count(F.lit(1)).alias("kyc_record_count"))
+    spine = xref.select("as_of_date", "party_key").distinct()
+    xc = xref.filter(F.col("source_system") == "CORE_BANKING").select("as_of_date", "party_key",
+                                                                       F.col("source_customer_key").alias("cust_no"))
+    xr = xref.filter(F.col("source_system") == "CRM").select("as_of_date", "party_key",
+                                                              F.col("source_customer_key").alias("party_id"))
+    c = core.select(F.col("business_date").alias("as_of_date"), "cust_no", "cif_number",
+                    F.col("full_name").alias("core_full_name"), "date_of_birth", F.col("address").alias("core_address"))
+    r = crm.select(F.col("business_date").alias("as_of_date"), "party_id",
+                   F.col("customer_name").alias("crm_customer_name"), F.col("email").alias("crm_email"),
+                   "preferred_contact_method")
+    out = (spine.join(xc, ["as_of_date", "party_key"], "left").join(c, ["as_of_date", "cust_no"], "left")
+           .join(xr, ["as_of_date", "party_key"], "left").join(r, ["as_of_date", "party_id"], "left")
+           .join(kyc, ["as_of_date", "party_key"], "left"))
+    cov = (F.when(F.col("cust_no").isNotNull() & F.col("party_id").isNotNull(), F.lit("CORE_AND_CRM"))
+           .when(F.col("cust_no").isNotNull(), F.lit("CORE_ONLY")).otherwise(F.lit("CRM_ONLY")))
+    return out.select("as_of_date", "party_key", "cust_no", "cif_number", "core_full_name", "date_of_birth",
+                      "core_address", "party_id", "crm_customer_name", "crm_email", "preferred_contact_method",
+                      F.col("_k.kyc_id").alias("latest_kyc_id"), F.col("_k.id_type").alias("latest_kyc_id_type"),
+                      F.col("_k.verification_status").alias("latest_kyc_status"),
+                      F.col("_k.verified_date").alias("latest_kyc_verified_date"),
+                      F.coalesce("kyc_record_count", F.lit(0)).alias("kyc_record_count"), cov.alias("source_coverage"))

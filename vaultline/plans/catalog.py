@@ -314,3 +314,4 @@ from vaultline.plans import q_ingest  # noqa: E402,F401
 from vaultline.plans import q_reconcile  # noqa: E402,F401
 from vaultline.plans import q_monitor  # noqa: E402,F401
 from vaultline.plans import q_stream  # noqa: E402,F401
+from vaultline.plans import q_extra  # noqa: E402,F401

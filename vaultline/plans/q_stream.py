@@ -118,3 +118,34 @@ def _scd_sql() -> str:
 
 
 register("stream_scd", _scd_sql())(_stream_scd)
+
+
+LATE_SECONDS = 300
+
+
+def _stream_late(spark, sf):
+    """Stateless late-arrival flagging on the status-event stream: events
+    that arrived more than 5 minutes after their business time."""
+    work = _workdir(spark, "late")
+    ev = P.bronze(spark, sf, "account_transaction_status_event")
+    _land(ev, f"{work}/in")
+    src = S.read_stream(spark, f"{work}/in", ev.schema, max_files=1)
+    lag = (F.unix_timestamp(F.col("source_arrival_timestamp").cast("timestamp"))
+           - F.unix_timestamp(F.col("status_timestamp").cast("timestamp")))
+    late = src.withColumn("arrival_lag_seconds", lag).filter(F.col("arrival_lag_seconds") > LATE_SECONDS).select(
+        "status_event_id", "account_txn_id", "sequence_number", "arrival_lag_seconds")
+    (late.writeStream.format("parquet").option("path", f"{work}/out").option("checkpointLocation", f"{work}/ckpt")
+     .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(f"{work}/out")
+
+
+def _stream_late_sql() -> str:
+    q = O.Q()
+    q.normalized("account_transaction_status_event")
+    return q.sql(f"""SELECT status_event_id, account_txn_id, sequence_number,
+  CAST(epoch(source_arrival_timestamp) - epoch(status_timestamp) AS BIGINT) AS arrival_lag_seconds
+FROM r_account_transaction_status_event
+WHERE CAST(epoch(source_arrival_timestamp) - epoch(status_timestamp) AS BIGINT) > {LATE_SECONDS}""")
+
+
+register("stream_late_arrival", _stream_late_sql())(_stream_late)
