@@ -46,8 +46,22 @@ def version_calendar(snapshots: DataFrame, version: str = "version") -> DataFram
                     F.lead(version).over(w).alias("_next_global")))
 
 
+def one_row_per_key_version(snapshots: DataFrame, keys, version: str) -> DataFrame:
+    """A snapshot must hold a key once; duplicates inside one snapshot are
+    collapsed to their greatest row (deterministic) by a grouped aggregate,
+    so afterwards a key's window partition holds at most one row per
+    snapshot however hot the key is."""
+    keys = list(keys)
+    data = [c for c in snapshots.columns if c not in keys and c != version]
+    if not data:
+        return snapshots.select(*keys, version).distinct()
+    return (snapshots.groupBy(*keys, version).agg(F.max(F.struct(*[F.col(c) for c in data])).alias("_r"))
+            .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in data], version))
+
+
 def _prepared(snapshots: DataFrame, keys, version, track_except):
     keys = list(keys)
+    snapshots = one_row_per_key_version(snapshots, keys, version).select(*snapshots.columns)
     data_cols = [c for c in snapshots.columns if c not in keys and c != version]
     tracked = [c for c in data_cols if c not in set(track_except)]
     untracked = [c for c in data_cols if c in set(track_except)]

@@ -42,13 +42,15 @@ def _late(spark, sf):
 def _late_sql() -> str:
     q = O.Q()
     q.normalized("account_transaction_status_event")
-    return q.sql(f"""SELECT status_event_id, account_txn_id, sequence_number, arrival_lag_seconds,
-  arrival_lag_seconds > {LATE_SECONDS} AS is_late, ra <> rb AS out_of_order FROM (
-  SELECT *, CAST(epoch(source_arrival_timestamp) - epoch(status_timestamp) AS BIGINT) AS arrival_lag_seconds,
-    ROW_NUMBER() OVER (PARTITION BY account_txn_id ORDER BY source_arrival_timestamp, sequence_number, status_event_id) AS ra,
-    ROW_NUMBER() OVER (PARTITION BY account_txn_id ORDER BY sequence_number, source_arrival_timestamp, status_event_id) AS rb
-  FROM r_account_transaction_status_event)
-WHERE arrival_lag_seconds > {LATE_SECONDS} OR ra <> rb""")
+    ev = "r_account_transaction_status_event"
+    ooo = (f"(EXISTS (SELECT 1 FROM {ev} o WHERE o.account_txn_id = e.account_txn_id AND o.sequence_number < "
+           f"e.sequence_number AND o.source_arrival_timestamp > e.source_arrival_timestamp) OR EXISTS (SELECT 1 FROM "
+           f"{ev} o WHERE o.account_txn_id = e.account_txn_id AND o.sequence_number > e.sequence_number AND "
+           f"o.source_arrival_timestamp < e.source_arrival_timestamp))")
+    lag = "CAST(epoch(e.source_arrival_timestamp) - epoch(e.status_timestamp) AS BIGINT)"
+    return q.sql(f"""SELECT e.status_event_id, e.account_txn_id, e.sequence_number, {lag} AS arrival_lag_seconds,
+  coalesce({lag} > {LATE_SECONDS}, FALSE) AS is_late, {ooo} AS out_of_order
+FROM {ev} e WHERE coalesce({lag} > {LATE_SECONDS}, FALSE) OR {ooo}""")
 
 
 register("dq_late_arrival", _late_sql())(_late)
