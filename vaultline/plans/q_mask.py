@@ -163,13 +163,14 @@ register("mask_audit", _audit_sql())(_audit)
 
 def _mapping(spark, sf):
     """Reference-mapping masking: each customer's name is replaced by a
-    pseudonym from a mapping table (nation names; fixed 25 rows, a proven
-    broadcast bound) picked by the customer number; unmapped -> rule mask."""
-    nation = spark.table("nation").select(F.col("n_nationkey").cast("bigint").alias("_bucket"),
+    pseudonym from a mapping table (nation names) picked by the customer
+    number; unmapped -> rule mask.  No hint: AQE broadcasts the mapping
+    only when its runtime size is under the threshold."""
+    nation = spark.read.parquet(f"{sf}/nation.parquet").select(F.col("n_nationkey").cast("bigint").alias("_bucket"),
                                           F.col("n_name").alias("_pseudonym"))
     c = _core(spark, sf).withColumn(
         "_bucket", F.expr("try_cast(regexp_replace(cust_no, '[^0-9]', '') AS BIGINT) % 25"))
-    j = c.join(F.broadcast(nation), "_bucket", "left")
+    j = c.join(nation, "_bucket", "left")
     return j.select("cust_no", F.coalesce(F.concat(F.lit("CUSTOMER "), F.col("_pseudonym")),
                                           M.mask_as("full_name", "individual_name")).alias("full_name_masked"))
 
