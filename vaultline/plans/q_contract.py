@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from vaultline import contracts as K
 from vaultline.operators import contract as C
+from vaultline.operators.scalar import side_by_side
 from vaultline.plans import oracle as O
 from vaultline.plans import pipeline as P
 from vaultline.plans.registry import register
@@ -253,7 +254,7 @@ def _sla(spark, sf):
                                                  F.lit(False))).cast("double") * 100 / F.count(F.lit(1)), 4)
                   .alias("error_rate_percent"))
     fresh = C.freshness(P.bronze(spark, sf, "account_transaction"), "txn_timestamp", fx.ORDER_AS_OF, 24 * 120)
-    return rate.crossJoin(fresh).select(
+    return side_by_side(rate, fresh).select(
         "error_rate_percent", (F.col("error_rate_percent") <= ERROR_RATE_LIMIT).alias("error_rate_ok"),
         F.col("latest_ts").cast("timestamp_ntz").alias("latest_ts"), "lag_hours", "within_sla")
 

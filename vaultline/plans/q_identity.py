@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vaultline.operators import identity as I
+from vaultline.operators.scalar import side_by_side
 from vaultline.plans import oracle as O
 from vaultline.plans import pipeline as P
 from vaultline.plans.registry import register
@@ -106,7 +107,7 @@ def _party_checks(spark, sf):
                  F.count_if(F.col("source_coverage") == "CRM_ONLY").alias("crm_only"))
     dup_tokens = (a.groupBy("source_system", "national_id_token").count().filter("count > 1")
                   .agg(F.count(F.lit(1)).alias("duplicate_source_tokens")))
-    return src.crossJoin(cand).crossJoin(dup_tokens).select(
+    return side_by_side(src, cand, dup_tokens).select(
         "core_rows", "crm_rows", (F.col("core_rows") + F.col("crm_rows")).alias("total_rows"),
         "canonical_parties", "duplicate_party_keys", "core_and_crm", "core_only", "crm_only",
         "duplicate_source_tokens")

@@ -46,6 +46,26 @@ def nid(k: str) -> str:
 
 BD = f"DATE '{BUSINESS_DATE}'"
 
+# Row fan-outs: DuckDB text (the oracle) -> Spark text.  In Spark each row is
+# repeated by a generator inside the scan's stage (no join operator at all).
+_FANOUTS: dict[str, str] = {}
+
+
+def fanout(values, alias: str, col: str) -> str:
+    """Repeat every row once per value, with ``alias.col`` = that value."""
+    duck = f"CROSS JOIN (VALUES {', '.join(f'({v})' for v in values)}) AS {alias}({col})"
+    _FANOUTS[duck] = f"LATERAL VIEW explode(array({', '.join(str(v) for v in values)})) {alias} AS {col}"
+    return duck
+
+
+def spark_text(sql: str) -> str:
+    for duck, spark in _FANOUTS.items():
+        sql = sql.replace(duck, spark)
+    return sql
+
+
+_FAN2 = fanout(range(2), "s", "n")
+
 FIXTURES: dict[str, str] = {}
 
 # ---------------------------------------------------------------- customer
@@ -150,7 +170,7 @@ SELECT
   DATE '2010-01-01' + CAST((c_custkey * 13 + s.n) % 3000 AS INT) AS open_date,
   'BR' || {pad('c_custkey % 50', 3)} AS branch_code,
   {BD} AS business_date
-FROM customer CROSS JOIN (VALUES (0), (1)) AS s(n)
+FROM customer {_FAN2}
 WHERE s.n = 0 OR c_custkey % 4 = 0
 """
 
@@ -316,7 +336,7 @@ SELECT
 FROM events WHERE event_type = 'purchase'
 """
 
-_SEQ3 = "(VALUES (0), (1), (2)) AS s(seq)"
+_SEQ3 = fanout(range(3), "s", "seq")
 
 
 def _status_ts(ts: str) -> str:
@@ -335,7 +355,7 @@ SELECT
        ELSE {_status_ts('o_orderdate')} + INTERVAL '5' SECOND END AS source_arrival_timestamp,
   CAST(s.seq AS BIGINT) AS sequence_number,
   {BD} AS business_date
-FROM orders CROSS JOIN {_SEQ3}
+FROM orders {_SEQ3}
 WHERE s.seq < 2 OR o_orderstatus <> 'O'
 UNION ALL
 SELECT
@@ -354,7 +374,7 @@ SELECT
   {_status_ts("(txn_timestamp + INTERVAL '25' YEAR)")} + INTERVAL '5' SECOND AS source_arrival_timestamp,
   CAST(s.seq AS BIGINT) AS sequence_number,
   {BD} AS business_date
-FROM card_transaction CROSS JOIN {_SEQ3}
+FROM card_transaction {_SEQ3}
 WHERE s.seq < 2
 """
 
@@ -368,7 +388,7 @@ SELECT
   {_status_ts('ts')} + INTERVAL '5' SECOND AS source_arrival_timestamp,
   CAST(s.seq AS BIGINT) AS sequence_number,
   {BD} AS business_date
-FROM events CROSS JOIN {_SEQ3}
+FROM events {_SEQ3}
 WHERE event_type = 'view' AND s.seq < 2
 """
 
@@ -385,7 +405,7 @@ SELECT
   {_status_ts('ts')} + INTERVAL '5' SECOND AS source_arrival_timestamp,
   CAST(s.seq AS BIGINT) AS sequence_number,
   {BD} AS business_date
-FROM events CROSS JOIN {_SEQ3}
+FROM events {_SEQ3}
 WHERE event_type = 'purchase' AND s.seq < 2
 """
 
@@ -440,7 +460,7 @@ SELECT
   CASE (o_orderkey + s.n) % 3 WHEN 0 THEN 'OPEN' WHEN 1 THEN 'CLOSED' ELSE 'IN_REVIEW' END AS alert_status,
   CAST(o_orderdate AS DATE) + 1 AS created_date,
   {BD} AS business_date
-FROM orders CROSS JOIN (VALUES (0), (1)) AS s(n)
+FROM orders {_FAN2}
 WHERE o_orderkey % 10 = 1 AND (s.n = 0 OR o_orderkey % 20 = 1)
 """
 
@@ -455,7 +475,7 @@ SELECT
        ELSE 'LOW' END AS risk_band,
   CAST(o_orderdate AS DATE) + CAST(s.n AS INT) AS scored_date,
   {BD} AS business_date
-FROM orders CROSS JOIN (VALUES (0), (1)) AS s(n)
+FROM orders {_FAN2}
 WHERE o_orderkey % 4 = 0 AND (s.n = 0 OR o_orderkey % 8 = 0)
 """
 
@@ -578,7 +598,7 @@ SELECT
   CASE WHEN (o_orderkey + s.n) % 2 = 0 THEN CAST(o_orderdate AS DATE) + CAST(s.n * 10 + 40 AS INT) END
     AS closed_date,
   {BD} AS business_date
-FROM orders CROSS JOIN (VALUES (0), (1)) AS s(n)
+FROM orders {_FAN2}
 WHERE o_orderkey % 40 = 5 AND (s.n = 0 OR o_orderkey % 80 = 5)
 """
 
@@ -655,7 +675,7 @@ FROM events WHERE event_type = 'error'
 # in version v unless (k % 6 >= v and k % 7 = v) or k % 97 = v (deletes and
 # re-inserts); the tracked address changes whenever (k + v) % 5 = 0; the
 # untracked business_date changes every version.
-_V6 = "(VALUES (1), (2), (3), (4), (5), (6)) AS s(v)"
+_V6 = fanout(range(1, 7), "s", "v")
 FIXTURES["customer_snapshot"] = f"""
 SELECT
   'CB-' || {pad('c_custkey', 6)} AS cust_no,
@@ -665,7 +685,7 @@ SELECT
     AS address,
   DATE '2026-07-04' + CAST(s.v AS INT) AS business_date,
   CAST(20260704 + s.v AS BIGINT) AS version
-FROM customer CROSS JOIN {_V6}
+FROM customer {_V6}
 WHERE (c_custkey % 6 < s.v OR c_custkey % 7 <> s.v) AND c_custkey % 97 <> s.v
 """
 
@@ -678,7 +698,7 @@ SELECT
        ELSE CASE WHEN o_orderstatus = 'F' THEN 'SUCCESS' ELSE 'REJECTED' END END AS status,
   CAST(s.seq AS BIGINT) AS sequence_number,
   CAST(20260704 + v.v AS BIGINT) AS version
-FROM orders CROSS JOIN {_SEQ3} CROSS JOIN (VALUES (1), (2), (3)) AS v(v)
+FROM orders {_SEQ3} {fanout(range(1, 4), 'v', 'v')}
 WHERE s.seq < v.v
 """
 
@@ -823,7 +843,7 @@ def load(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
                                                 | {"supplier", "orders", "customer"}))
     for n in need:
         if n not in cache:
-            df = spark.sql(_bind_counts(spark, cache, SPARK_FIXTURES.get(n, FIXTURES[n])))
+            df = spark.sql(_bind_counts(spark, cache, spark_text(SPARK_FIXTURES.get(n, FIXTURES[n]))))
             if n in shared_fixtures() and spark.conf.get("vaultline.materialize", "true").lower() == "true":
                 df = _land(spark, sf_dir, n, df)
             cache[n] = df
