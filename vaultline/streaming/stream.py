@@ -6,7 +6,9 @@
                       ``batch_id=`` folder with overwrite, so a replayed
                       batch (after a failure) rewrites instead of duplicating.
 * ``dedup_stream``    replay removal with ``dropDuplicatesWithinWatermark``.
-* ``window_counts``   event-time tumbling-window counts with a watermark.
+* ``window_counts``   event-time tumbling-window counts with a watermark
+                      (update mode: closed windows leave the state) upserted
+                      into a versioned result.
 * ``scd2_stream``     snapshot files -> SCD2 history, applied in version order
                       per micro-batch; history persisted per batch id.
 
@@ -77,25 +79,45 @@ def dedup_stream(source: DataFrame, keys: list[str], event_time: str, delay: str
     q.awaitTermination()
 
 
-def window_counts(source: DataFrame, event_time: str, by: list[str], window: str, delay: str, sink: str,
-                  checkpoint: str) -> None:
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(d.split("=")[1]) for d in _list_dirs(spark, path) if d.startswith("batch_id="))
+
+
+def window_counts(spark: SparkSession, source: DataFrame, event_time: str, by: list[str], window: str, delay: str,
+                  sink: str, checkpoint: str) -> None:
     """Tumbling-window counts on event time (TIMESTAMP_NTZ is cast to
-    TIMESTAMP first, as watermarks require).  Complete mode through
-    ``foreachBatch``: each batch overwrites the result table."""
+    TIMESTAMP first, as watermarks require).
+
+    Update mode: a micro-batch emits only the windows it changed, and the
+    watermark evicts a window's state once it closes, so state stays bounded
+    by the open windows.  Each batch upserts its windows into the result:
+    the previous result version minus the changed windows, plus the changed
+    windows, written as version ``batch_id=b`` (overwrite, so a replayed
+    batch rewrites the same version).  ``window_result`` reads the latest.
+    """
     ts = F.col(event_time).cast("timestamp")
     agg = (source.withColumn("_event_ts", ts).withWatermark("_event_ts", delay)
            .groupBy(F.window("_event_ts", window), *by).agg(F.count(F.lit(1)).alias("events")))
+    keys = ["window_start", "window_end", *by]
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("window.end").cast("timestamp_ntz").alias("window_end"), *by, "events")
-         .write.mode("overwrite").parquet(sink))
-
-    q = (agg.writeStream.outputMode("complete").foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+        changed = batch.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+                               F.col("window.end").cast("timestamp_ntz").alias("window_end"), *by, "events")
+        before = [v for v in _versions(spark, f"{sink}/versions") if v < batch_id]
+        if before:
+            prev = spark.read.parquet(f"{sink}/versions/batch_id={before[-1]}")
+            changed = prev.join(changed.select(*keys), keys, "left_anti").unionByName(changed)
+        changed.write.mode("overwrite").parquet(f"{sink}/versions/batch_id={batch_id}")
+
+    q = (agg.writeStream.outputMode("update").foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
+def window_result(spark: SparkSession, sink: str) -> DataFrame:
+    return spark.read.parquet(f"{sink}/versions/batch_id={_versions(spark, f'{sink}/versions')[-1]}")
+
+
 def scd2_stream(spark: SparkSession, source: DataFrame, keys: list[str], version: str, sink: str,
                 checkpoint: str, track_except=()) -> None:
     """Snapshot stream -> SCD2 history.  A micro-batch may carry several
@@ -103,12 +125,14 @@ def scd2_stream(spark: SparkSession, source: DataFrame, keys: list[str], version
     batch ``b`` is written to ``history/batch_id=b`` (overwrite: replay
     safe) and read back by batch ``b+1``.  A snapshot older than the
     history's latest version is rejected."""
-    def latest_history():
-        done = sorted(int(d.split("=")[1]) for d in _list_dirs(spark, f"{sink}/history") if d.startswith("batch_id="))
+    def history_before(batch_id: int):
+        # A replayed batch (failure after its write) must start from the
+        # previous batch's history, not from the one it already wrote.
+        done = [b for b in _versions(spark, f"{sink}/history") if b < batch_id]
         return None if not done else spark.read.parquet(f"{sink}/history/batch_id={done[-1]}")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        hist = latest_history()
+        hist = history_before(batch_id)
         # distinct snapshot versions in this batch: one small value per snapshot
         versions = sorted(r[0] for r in batch.select(version).distinct().collect())
         if hist is not None and versions:
@@ -133,5 +157,4 @@ def scd2_stream(spark: SparkSession, source: DataFrame, keys: list[str], version
 
 
 def final_history(spark: SparkSession, sink: str) -> DataFrame:
-    done = sorted(int(d.split("=")[1]) for d in _list_dirs(spark, f"{sink}/history") if d.startswith("batch_id="))
-    return spark.read.parquet(f"{sink}/history/batch_id={done[-1]}")
+    return spark.read.parquet(f"{sink}/history/batch_id={_versions(spark, f'{sink}/history')[-1]}")
