@@ -59,29 +59,28 @@ def _materialize(spark: SparkSession) -> bool:
 
 
 def publish_many(spark: SparkSession, sf: str, kind: str, builds: dict) -> None:
-    """Publish several independent tables at once: plans are built on the
-    driver one after the other, then the writes are submitted as
-    concurrent Spark jobs so small tables share the cluster instead of
-    queueing behind each other."""
+    """Publish several independent tables at once: each is planned and
+    written on its own driver thread, so plan analysis and the write jobs
+    of small tables overlap instead of queueing behind each other.  The
+    builders must only read inputs that are already registered."""
     from concurrent.futures import ThreadPoolExecutor
 
     cache = fx._cache(spark, sf)
-    todo = {n: b() for n, b in builds.items() if ("published", kind, n) not in cache}
-    if not todo:
+    names = [n for n in builds if ("published", kind, n) not in cache]
+    if not names:
         return
     if not _materialize(spark):
-        for n, df in todo.items():
-            cache[("published", kind, n)] = df
+        for n in names:
+            cache[("published", kind, n)] = builds[n]()
         return
     root = _table_root(spark, sf)
 
-    def write(item):
-        n, df = item
-        df.write.mode("overwrite").parquet(f"{root}/{kind}/{n}")
+    def write(n):
+        builds[n]().write.mode("overwrite").parquet(f"{root}/{kind}/{n}")
 
-    with ThreadPoolExecutor(max_workers=min(8, len(todo))) as pool:
-        list(pool.map(write, todo.items()))
-    for n in todo:
+    with ThreadPoolExecutor(max_workers=min(8, len(names))) as pool:
+        list(pool.map(write, names))
+    for n in names:
         cache[("published", kind, n)] = spark.read.parquet(f"{root}/{kind}/{n}")
 
 
@@ -93,7 +92,11 @@ def _assess_build(spark: SparkSession, sf: str, table: str):
 
 
 def assess_all(spark: SparkSession, sf: str, tables) -> None:
-    """Publish the assessments of several sources concurrently."""
+    """Publish the assessments of several sources concurrently (their
+    source views are registered first, on this thread)."""
+    fx.load(spark, sf, *tables)
+    for t in tables:
+        bronze(spark, sf, t)
     publish_many(spark, sf, "assessed", {t: _assess_build(spark, sf, t) for t in tables})
 
 
