@@ -27,3 +27,18 @@ def test_hot_key_duplicates_are_flagged_without_a_window(spark):
     plan = a._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
     assert "partial_count" in plan                         # combined on the map side before the shuffle
+
+
+def test_sequenced_cdc_hot_key_spans_slices_exactly(spark):
+    from vaultline.operators import scd
+
+    rows = [("HOT", s, f"v{s}") for s in range(0, 300, 3)]            # one key: a third of all events
+    rows += [(f"K{i}", s, f"w{s}") for i in range(100) for s in (5, 1)]  # out of order arrival
+    ev = spark.createDataFrame(rows, "k STRING, seq BIGINT, val STRING")
+    got = {(r.k, r["__START_AT"]): r["__END_AT"]
+           for r in scd.scd2_from_changes(ev, ["k"], "seq", slices=8).collect()}
+    want = {}
+    for k in {r[0] for r in rows}:
+        seqs = sorted(r[1] for r in rows if r[0] == k)
+        want.update({(k, a): b for a, b in zip(seqs, seqs[1:] + [None])})
+    assert got == want
