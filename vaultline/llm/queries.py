@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import bpe, line_dedup, packing
+from vaultline.llm import bpe, line_dedup, packing, simhash
 from vaultline.llm.common import documents
 from vaultline.session import configure
 
@@ -46,6 +46,15 @@ FROM keyed GROUP BY r, doc_id
 """
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    marked = simhash.near_duplicates(docs, keep=["doc_id"])
+    return marked.select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     coded = bpe.decode(bpe.encode(documents(spark, sf_dir).select("doc_id", "text")).drop("text"))
@@ -60,6 +69,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_line_dedup": op2_line_dedup,
+    "op3_simhash": op3_simhash,
     "op8_bpe": op8_bpe,
 }
 
