@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import bpe, line_dedup, packing, simhash
+from vaultline.llm import bpe, fingerprints, line_dedup, packing, sharding, simhash
 from vaultline.llm.common import documents
 from vaultline.session import configure
 
@@ -55,6 +55,34 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    pairs = fingerprints.with_next(fingerprints.sketches(docs), "doc_id", ["text", "sketch"])
+    n = F.char_length("text")
+    half = F.floor(n / 2).cast("int")
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
+    both = fingerprints.sketches(pairs.withColumn("edited", edited), "edited", "edited_sketch")
+    return both.select(
+        "doc_id",
+        n.cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprints.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
+def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    placed = sharding.kd_shards(documents(spark, sf_dir))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     coded = bpe.decode(bpe.encode(documents(spark, sf_dir).select("doc_id", "text")).drop("text"))
@@ -70,6 +98,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_line_dedup": op2_line_dedup,
     "op3_simhash": op3_simhash,
+    "op4_fingerprints": op4_fingerprints,
+    "op5_shard": op5_shard,
     "op8_bpe": op8_bpe,
 }
 
