@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import bpe, fingerprints, line_dedup, packing, sharding, simhash
+from vaultline.llm import bpe, fingerprints, line_dedup, packing, quality, sharding, simhash
 from vaultline.llm.common import documents
 from vaultline.session import configure
 
@@ -83,6 +83,14 @@ def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    judged = quality.judge(documents(spark, sf_dir), keep=["doc_id"])
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
+    )
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     coded = bpe.decode(bpe.encode(documents(spark, sf_dir).select("doc_id", "text")).drop("text"))
@@ -100,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_fingerprints": op4_fingerprints,
     "op5_shard": op5_shard,
+    "op7_quality": op7_quality,
     "op8_bpe": op8_bpe,
 }
 
