@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import bpe, fingerprints, line_dedup, packing, quality, sharding, simhash
+from vaultline.llm import bpe, fingerprints, licenses, line_dedup, packing, quality, sharding, simhash
 from vaultline.llm.common import documents
 from vaultline.session import configure
 
@@ -102,6 +102,12 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    found = licenses.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "canonical_sha256", "license_id", F.array_join("notices", ";").alias("notices"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_line_dedup": op2_line_dedup,
@@ -110,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_shard": op5_shard,
     "op7_quality": op7_quality,
     "op8_bpe": op8_bpe,
+    "op10_licenses": op10_licenses,
 }
 
-ORACLE: dict[str, str] = {"op2_line_dedup": OP2_SQL}
+ORACLE: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op10_licenses": licenses.oracle_sql()}
