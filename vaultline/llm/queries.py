@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import bpe, fingerprints, licenses, line_dedup, packing, quality, sharding, simhash
+from vaultline.llm import bpe, fingerprints, licenses, line_dedup, packing, quality, sharding, simhash, token_counts
 from vaultline.llm.common import documents
 from vaultline.session import configure
 
@@ -83,6 +83,11 @@ def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return token_counts.token_counts(documents(spark, sf_dir))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     judged = quality.judge(documents(spark, sf_dir), keep=["doc_id"])
@@ -114,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_fingerprints": op4_fingerprints,
     "op5_shard": op5_shard,
+    "op6_token_counts": op6_token_counts,
     "op7_quality": op7_quality,
     "op8_bpe": op8_bpe,
     "op10_licenses": op10_licenses,
