@@ -33,23 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.llm.common import python_side
-from vaultline.llm.tokens import SPECIAL, TextEncoder, vocabulary_path
+from vaultline.llm.tokens import SPECIAL, TextEncoder, byte_letters, vocabulary_path
 
 _NEVER = 1 << 30
 _ARCS = 1 << 20  # filled entries of the arc table kept in a worker
 
 
-def byte_letters() -> dict[str, int]:
-    """Printable letter -> byte, the vocabulary file's way to write bytes.
-
-    Bytes that are printable in Latin-1 stand for themselves; the others, in
-    order, are written as the code points from 256 on.
-    """
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class Automaton:
     """Deterministic automaton over token labels, compiled from a merge list."""
 

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain
 
-MEMO_ENTRIES = 1 << 19  # per generation; two generations live in each Python worker
+MEMO_ENTRIES = 1 << 20  # per generation; two generations live in each Python worker
 MEMO_CHARS = 64  # longer cuts are encoded each time
 _DOUBLE = re.compile(r"\s\s")
 _STOPS = frozenset(".,;:!?")
@@ -28,6 +28,17 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> dict[str, int]:
+    """Printable letter -> byte, the vocabulary file's way to write bytes.
+
+    Bytes that are printable in Latin-1 stand for themselves; the others, in
+    order, are written as the code points from 256 on.
+    """
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 class Memo(dict):
     """Cut -> little-endian uint32 ids.  Two generations bound the memory; misses are encoded."""
 
@@ -87,15 +98,14 @@ def library_encoder(path: str, special_as_text: bool = False) -> TextEncoder:
 
     import regex
     from public_tokenizers import PATTERN
-    from tokenizers import Tokenizer, pre_tokenizers
+    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
     with open(path, encoding="utf-8") as file:
         specials = {x["content"]: x["id"] for x in json.load(file)["added_tokens"]}
-    letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-    model = tokenizer.model
+    tokenize = Tokenizer.from_file(path).model.tokenize
+    letters = {byte: letter for letter, byte in byte_letters().items()}
 
     def encode_word(word: str) -> list[int]:
-        return [x.id for x in model.tokenize(letters.pre_tokenize_str(word)[0][0])]
+        return [x.id for x in tokenize(word.encode().decode("latin-1").translate(letters))]
 
     return TextEncoder(encode_word, regex.compile(PATTERN).findall, None if special_as_text else specials.get(SPECIAL))
