@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import bpe, fingerprints, licenses, line_dedup, packing, quality, sharding, simhash, token_counts
+from vaultline.llm import bpe, fingerprints, licenses, line_dedup, packing, pii, quality, sharding, simhash, token_counts
 from vaultline.llm.common import documents
 from vaultline.session import configure
 
@@ -107,6 +107,16 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    found = pii.find(documents(spark, sf_dir), keep=["doc_id"])
+    base = F.filter("spans", lambda x: x.base)
+    count = lambda kind: F.size(F.filter(base, lambda x: x.kind == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *map(count, pii.KINDS), F.sha2(pii.as_text(base), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans")
+    )
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     found = licenses.scan(documents(spark, sf_dir).select("doc_id", "text"))
@@ -122,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_quality": op7_quality,
     "op8_bpe": op8_bpe,
+    "op9_pii": op9_pii,
     "op10_licenses": op10_licenses,
 }
 
