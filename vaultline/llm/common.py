@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,16 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
 
+def whole_row(columns: Sequence[str]) -> Column:
+    """The columns as one struct ``row``, so that working columns beside it never clash with theirs."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
+
+
+def from_row(columns: Sequence[str]) -> list[Column]:
+    """The columns of ``row`` again."""
+    return [F.col("row").getField(c).alias(c) for c in columns]
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, with underscores in front until no column of ``df`` (in any case) has them."""
     taken = {c.lower() for c in df.columns}

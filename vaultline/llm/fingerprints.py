@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vaultline.llm.common import WHITE, WHITE_RE, fresh, shuffle_partitions
+from vaultline.llm.common import WHITE, WHITE_RE, fresh, from_row, shuffle_partitions, whole_row
 
 K = 128
 SHINGLE_WORDS = 5
@@ -100,36 +100,30 @@ def with_next(df: DataFrame, order_col: str, columns: list[str]) -> DataFrame:
     gets the first row of the next range by a join on the range number: as
     many rows as there are ranges, never a broadcast of texts.
     """
-    spark = df.sparkSession
-    part, at_end, first_of, given = fresh(df, "part", "at_end", "first_of", "given")
-    parts = shuffle_partitions(spark)
+    parts = shuffle_partitions(df.sparkSession)
     shares = [i / parts for i in range(1, parts)] or [0.5]
     bounds = df.agg(F.percentile_approx(order_col, shares, 10 * max(parts, 1000))).first()[0] or []
-    bounds = sorted(set(bounds))
-    limits = F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<bigint>")
-    number = F.when(F.col(order_col).isNull(), 0).otherwise(F.size(F.filter(limits, lambda b: b <= F.col(order_col))))
-    dealt = df.withColumn(part, number)
+    limits = F.array(*[F.lit(b) for b in sorted(set(bounds))]).cast(f"array<{df.schema[order_col].dataType.simpleString()}>")
+    base = df.select(whole_row(df.columns), F.col(order_col).alias("key"), F.struct(*columns).alias("payload"))
+    number = F.size(F.filter(limits, lambda b: b <= F.col("key")))
+    dealt = base.withColumn("part", F.when(F.col("key").isNull(), 0).otherwise(number))
     # The first order value of each range: one small row per range.
-    heads_of = dealt.groupBy(part).agg(F.min(order_col), F.count_if(F.col(order_col).isNull())).collect()
-    starts = {r[0]: r[1] for r in heads_of}
-    if not starts:
+    ranges = dealt.groupBy("part").agg(F.min("key").alias("least"), F.count_if(F.col("key").isNull()).alias("nulls")).collect()
+    if not ranges:
         return df.select("*", *[F.col(c).alias(f"next_{c}") for c in columns])
-    nulls = any(r[2] for r in heads_of)
-    filled = sorted(starts)
+    filled = sorted(r["part"] for r in ranges)
     before = {p: filled[i - 1] for i, p in enumerate(filled)}  # the first range follows the last
-    order = [F.col(order_col).asc_nulls_first(), *[F.col(c) for c in columns if c != order_col]]
-    in_part = Window.partitionBy(part).orderBy(*order)
-    payload = F.struct(*columns)
-    chained = dealt.withColumn(given, F.lead(payload).over(in_part)).withColumn(
-        at_end, F.lead(F.lit(True)).over(in_part).isNull()
+    in_part = Window.partitionBy("part").orderBy(F.col("key").asc_nulls_first(), "payload")
+    chained = dealt.withColumn("given", F.lead("payload").over(in_part)).withColumn(
+        "at_end", F.lead(F.lit(True)).over(in_part).isNull()
     )
-    wanted = [v for v in starts.values() if v is not None]
-    is_first = F.col(order_col).isin(wanted) if wanted else F.lit(False)
-    heads = dealt.where(is_first | F.col(order_col).isNull() if nulls else is_first)
-    previous = F.get(F.array(*[F.lit(before.get(p, -1)) for p in range(filled[-1] + 1)]), F.col(part))
-    heads = heads.withColumn("n", F.row_number().over(in_part)).where("n = 1").select(
-        previous.alias(first_of), payload.alias("head")
+    is_first = F.col("key").isin([r["least"] for r in ranges if r["least"] is not None])
+    if any(r["nulls"] for r in ranges):
+        is_first = is_first | F.col("key").isNull()
+    first_of = F.get(F.array(*[F.lit(before.get(p, -1)) for p in range(filled[-1] + 1)]), F.col("part"))
+    heads = dealt.where(is_first).withColumn("n", F.row_number().over(in_part)).where("n = 1").select(
+        first_of.alias("first_of"), F.col("payload").alias("head")
     )
-    joined = chained.join(heads, (chained[part] == heads[first_of]) & chained[at_end], "left")
-    follower = F.coalesce(F.col(given), F.col("head"))
-    return joined.select(*[F.col(c) for c in df.columns], *[follower[c].alias(f"next_{c}") for c in columns])
+    joined = chained.join(heads, (chained.part == heads.first_of) & chained.at_end, "left")
+    follower = F.coalesce("given", "head")
+    return joined.select(*from_row(df.columns), *[follower[c].alias(f"next_{c}") for c in columns])

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import WHITE, ascii_lower, content_key, fresh
+from vaultline.llm.common import WHITE, ascii_lower, content_key, from_row, whole_row
 
 MIN_DOCUMENTS = 10
 MIN_KEY_CHARS = 1
@@ -39,37 +39,37 @@ def drop_repeated_lines(
     empty).  Other columns pass unchanged; columns with the two counts' names
     are replaced.
     """
-    kept_columns = [c for c in df.columns if c not in (n_lines, n_dropped)]
-    key_a, key_b, lines, keys, at, digest, gone, total = fresh(df, "key_a", "key_b", "lines", "keys", "at", "digest", "gone", "total")
+    kept = [c for c in df.columns if c not in (n_lines, n_dropped)]
     text = F.coalesce(df[text_col].cast("string"), F.lit(""))
     a, b = content_key(text)
-    base = df.select(*kept_columns, F.split(text, "\n", -1).alias(lines), a.alias(key_a), b.alias(key_b))
+    base = df.select(whole_row(kept), F.split(text, "\n", -1).alias("lines"), a.alias("key_a"), b.alias("key_b"))
 
     def digest_of(line: Column) -> Column:
         key = line_key(line)
         return F.when(F.length(key) >= min_key_chars, F.md5(key))
 
-    digests = base.select(key_a, key_b, F.transform(lines, digest_of).alias(keys))
+    digests = base.select("key_a", "key_b", F.transform("lines", digest_of).alias("digests"))
     frequent = (
-        digests.select(F.explode(F.array_distinct(keys)).alias(digest))
-        .where(F.col(digest).isNotNull())
-        .groupBy(digest)
+        digests.select(F.explode(F.array_distinct("digests")).alias("digest"))
+        .where(F.col("digest").isNotNull())
+        .groupBy("digest")
         .count()
         .where(F.col("count") >= min_documents)
-        .select(digest)
+        .select("digest")
     )
     dropped = (
-        digests.select(key_a, key_b, F.posexplode(keys).alias(at, digest))
-        .where(F.col(digest).isNotNull())
-        .join(frequent, digest)
-        .groupBy(key_a, key_b)
-        .agg(F.collect_set(at).alias(gone))
+        digests.select("key_a", "key_b", F.posexplode("digests").alias("at", "digest"))
+        .where(F.col("digest").isNotNull())
+        .join(frequent, "digest")
+        .groupBy("key_a", "key_b")
+        .agg(F.collect_set("at").alias("gone"))
     )
-    joined = base.join(dropped, [key_a, key_b], "left").withColumn(total, F.size(lines))
-    stay = F.array_except(F.sequence(F.lit(0), F.col(total) - 1), F.coalesce(F.col(gone), F.array().cast("array<int>")))
-    rebuilt = F.array_join(F.transform(F.col(keys), lambda i: F.get(F.col(lines), i)), "\n")
-    return joined.withColumn(keys, stay).select(
-        *[rebuilt.alias(c) if c == text_col else F.col(c) for c in kept_columns],
-        F.col(total).cast("long").alias(n_lines),
-        (F.col(total) - F.size(keys)).cast("long").alias(n_dropped),
+    joined = base.join(dropped, ["key_a", "key_b"], "left").withColumn("total", F.size("lines"))
+    gone = F.coalesce("gone", F.array().cast("array<int>"))
+    stay = F.array_except(F.sequence(F.lit(0), F.col("total") - 1), gone)
+    rebuilt = F.array_join(F.transform("stay", lambda i: F.get("lines", i)), "\n")
+    return joined.withColumn("stay", stay).select(
+        *[rebuilt.alias(c) if c == text_col else x for c, x in zip(kept, from_row(kept))],
+        F.col("total").cast("long").alias(n_lines),
+        (F.col("total") - F.size("stay")).cast("long").alias(n_dropped),
     )

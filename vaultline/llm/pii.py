@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import content_key, discard, fresh, publish, python_side
+from vaultline.llm.common import content_key, discard, fresh, from_row, publish, python_side, whole_row
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -177,11 +177,10 @@ def find(
     often it is repeated.  A column named ``spans`` is replaced; others pass.
     """
     kept = [c for c in (df.columns if keep is None else keep) if c != spans]
-    seen, ka, kb, extra = fresh(df, "seen", "key_a", "key_b", "extra")
     a, b = content_key(F.coalesce(df[text_col].cast("string"), F.lit("")))
-    table = df.select(*kept, df[text_col].alias("text_"), a.alias(ka), b.alias(kb))
-    table = publish(extract(table, "text_", seen).drop("text_"), "pii")
-    exploded = table.select(F.col(ka).alias("ka"), F.col(kb).alias("kb"), F.inline(seen))
+    table = df.select(whole_row(kept), df[text_col].alias("text"), a.alias("ka"), b.alias("kb"))
+    table = publish(extract(table, "text", "seen").drop("text"), "pii")
+    exploded = table.select("ka", "kb", F.inline("seen"))
     accepted = reliable_patterns(exploded.select("kind", "pattern", "instance"), rounds)
     span = lambda kind, base: F.struct(
         F.col("start").alias("start"), _order(kind).alias("rank"), F.col("stop").alias("stop"), kind.alias("kind"), F.lit(base).alias("base")
@@ -190,16 +189,16 @@ def find(
         exploded.where(F.col("kind").isNull() & (F.col("pattern") != ""))
         .drop("kind")
         .join(accepted.select("pattern", "kind"), "pattern")
-        .groupBy(F.col("ka").alias(ka), F.col("kb").alias(kb))
-        .agg(F.collect_set(span(F.col("kind"), False)).alias(extra))
+        .groupBy("ka", "kb")
+        .agg(F.collect_set(span(F.col("kind"), False)).alias("extra"))
     )
     own = F.transform(
-        F.filter(seen, lambda x: x.kind.isNotNull()),
+        F.filter("seen", lambda x: x.kind.isNotNull()),
         lambda x: F.struct(x.start.alias("start"), _order(x.kind).alias("rank"), x.stop.alias("stop"), x.kind.alias("kind"), F.lit(True).alias("base")),
     )
     none = F.filter(own, lambda x: F.lit(False))
-    return table.join(new, [ka, kb], "left").select(
-        *kept, F.sort_array(F.concat(own, F.coalesce(F.col(extra), none))).alias(spans)
+    return table.join(new, ["ka", "kb"], "left").select(
+        *from_row(kept), F.sort_array(F.concat(own, F.coalesce("extra", none))).alias(spans)
     )
 
 

@@ -21,14 +21,14 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import content_key, discard, fresh, publish, python_side
+from vaultline.llm.common import content_key, discard, from_row, publish, python_side, whole_row
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -45,6 +45,7 @@ SETTLED = 1e-4
 _WHITE = b" \t\n\x0b\x0c\r"
 _CAPITALS = bytes(range(65, 91))
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals")
+RESULTS = (*MEASURES, "base_failed", "distance", "kept")
 
 
 def measure_text(text: str | None) -> tuple[int, ...]:
@@ -191,6 +192,7 @@ def judge(
     keep: Sequence[str] | None = None,
     reject: float = REJECT,
     min_group: int = MIN_GROUP,
+    names: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Rows of ``df`` (columns ``keep``, default all) with MEASURES, ``base_failed``, ``distance`` and ``kept``.
 
@@ -198,29 +200,29 @@ def judge(
     in repeated 3-word windows.  NULL and empty texts have no words and fail.
     NULL languages and sources are values of their own.  Where fewer than
     FEWEST texts are left to estimate from, only the base rule decides and
-    ``distance`` is NULL.  Repeated rows get equal verdicts.  Columns with the
-    names of the results are replaced; other columns pass.
+    ``distance`` is NULL.  Repeated rows get equal verdicts.  ``names`` gives
+    results other column names; columns with a result's name are replaced,
+    other columns pass.
     """
-    results = (*MEASURES, "base_failed", "distance", "kept")
-    kept_columns = [c for c in (df.columns if keep is None else keep) if c not in results]
-    stats, group, lang, ka, kb, failed = fresh(df, "stats", "fine", "lang_", "key_a", "key_b", "failed")
-    names = list(RESOLUTION)
+    called = {r: (names or {}).get(r, r) for r in RESULTS}
+    kept_columns = [c for c in (df.columns if keep is None else keep) if c not in called.values()]
+    vector = list(RESOLUTION)
     a, b = content_key(F.coalesce(df[text_col].cast("string"), F.lit("")))
-    table = measured(df.select(
-        *kept_columns,
-        df[text_col].alias("text_"),
-        F.to_json(F.struct(df[lang_col].cast("string").alias("l"), df[source_col].cast("string").alias("s"))).alias(group),
-        F.to_json(F.struct(df[lang_col].cast("string").alias("l"))).alias(lang),
-        a.alias(ka),
-        b.alias(kb),
-    ), "text_", stats).drop("text_")
-    s = F.col(stats)
-    table = publish(table, "measured").withColumn(
-        failed, (s.n_words < MIN_WORDS) | (100 * s.n_repeat_words > MAX_REPEAT_PERCENT * s.n_words)
+    lang, source = df[lang_col].cast("string").alias("l"), df[source_col].cast("string").alias("s")
+    table = df.select(
+        whole_row(kept_columns),
+        df[text_col].alias("text"),
+        F.to_json(F.struct(lang, source)).alias("fine"),
+        F.to_json(F.struct(lang)).alias("lang"),
+        a.alias("ka"),
+        b.alias("kb"),
     )
+    table = publish(measured(table, "text", "stats").drop("text"), "measured")
+    s = F.col("stats")
+    failed = (s.n_words < MIN_WORDS) | (100 * s.n_repeat_words > MAX_REPEAT_PERCENT * s.n_words)
     vectors = (
-        table.where(~F.col(failed))
-        .select(F.col(group).alias("fine"), F.col(lang).alias("lang"), F.col(ka).alias("ka"), F.col(kb).alias("kb"), *[x.alias(n) for n, x in _vector(stats).items()])
+        table.where(~failed)
+        .select("fine", "lang", "ka", "kb", *[x.alias(n) for n, x in _vector("stats").items()])
         .dropDuplicates(["fine", "ka", "kb"])
     )
     vectors = publish(vectors.drop("ka", "kb"), "vectors")
@@ -230,17 +232,17 @@ def judge(
     groups = publish(sizes.join(pools, "lang", "left").select("fine", g.alias("g")), "groups")
     dealt = vectors.join(groups, "fine")
     enough = dealt.groupBy("g").count().where(F.col("count") >= FEWEST).select("g")
-    dealt = publish(dealt.join(enough, "g").select("g", *names), "dealt")
+    dealt = publish(dealt.join(enough, "g").select("g", *vector), "dealt")
     discard(vectors)
     found = minimum_covariance(dealt)
-    estimates = groups.join(found, "g").select(F.col("fine").alias(group), "center", "inverse")
-    judged = table.join(estimates, group, "left").withColumns(_vector(stats)).withColumn("distance", F.sqrt(_distance()))
-    cutoff = math.sqrt(chi_squared_quantile(1 - reject, len(names)))
-    within = F.coalesce(F.col("distance") <= cutoff, F.lit(True))
+    estimates = groups.join(found, "g").select("fine", "center", "inverse")
+    judged = table.join(estimates, "fine", "left").withColumns(_vector("stats"))
+    distance = F.sqrt(_distance())
+    cutoff = math.sqrt(chi_squared_quantile(1 - reject, len(vector)))
     return judged.select(
-        *kept_columns,
-        *[s[m].alias(m) for m in MEASURES],
-        F.col(failed).alias("base_failed"),
-        "distance",
-        (~F.col(failed) & within).alias("kept"),
+        *from_row(kept_columns),
+        *[s[m].alias(called[m]) for m in MEASURES],
+        failed.alias(called["base_failed"]),
+        distance.alias(called["distance"]),
+        (~failed & F.coalesce(distance <= cutoff, F.lit(True))).alias(called["kept"]),
     )

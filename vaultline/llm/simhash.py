@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import fresh, publish, python_side
+from vaultline.llm.common import from_row, publish, python_side, whole_row
 from vaultline.llm.components import connected
 
 BITS = 64
@@ -186,10 +186,12 @@ def near_duplicates(
     component.  Columns with the three names are replaced; all else passes.
     """
     kept = [c for c in (df.columns if keep is None else keep) if c not in (fingerprint, cluster, component)]
-    fp, id_name = fresh(df, "fp", "id")
-    marked = fingerprints(df, text_col, fp, words).withColumn(id_name, F.col(id_col))
-    marked = publish(marked.select(*kept, id_name, fp), "simhash")
-    found = clusters(marked, id_name, fp, radius).select(
-        F.col("fp").alias(fp), F.col("cluster").alias(cluster), F.col("component_id").alias(component)
+    source = df.select(whole_row(kept), df[id_col].alias("id"), df[text_col].alias("text"))
+    marked = publish(fingerprints(source, "text", "fp", words).drop("text"), "simhash")
+    found = clusters(marked, "id", "fp", radius)
+    return marked.join(found, "fp").select(
+        *from_row(kept),
+        F.col("fp").alias(fingerprint),
+        F.col("cluster").alias(cluster),
+        F.col("component_id").alias(component),
     )
-    return marked.join(found, fp).select(*kept, F.col(fp).alias(fingerprint), cluster, component)
