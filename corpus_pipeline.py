@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vaultline.llm import line_dedup, packing, pii, quality, simhash
-from vaultline.llm.common import discard, documents, fresh, publish
+from vaultline.llm.common import cols, discard, documents, fresh, publish
 from vaultline.session import configure
 
 
@@ -20,7 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Drop the documents that the quality rules reject."""
     configure(spark)
     names = dict(zip(quality.RESULTS, fresh(docs, *quality.RESULTS)))
-    return quality.judge(docs, names=names).where(F.col(names["kept"])).select(*docs.columns)
+    return quality.judge(docs, names=names).where(F.col(names["kept"])).select(*cols(docs.columns))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +36,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     fp, group, least, n = fresh(docs, "fp", "group", "least", "n")
     marked = simhash.near_duplicates(docs, fingerprint=fp, cluster=group, component=least)
     # The rows of a group that carry its least id are few, whatever the size of the group.
-    first = Window.partitionBy(group).orderBy(*[F.col(c) for c in ("text", *docs.columns)])
+    first = Window.partitionBy(group).orderBy("text", *cols(docs.columns))
     keepers = marked.where(F.col("doc_id").eqNullSafe(F.col(least)))
-    return keepers.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).select(*docs.columns)
+    return keepers.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).select(*cols(docs.columns))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
     length = F.char_length("text").cast("long").alias("n_chars")
-    return docs.select(*[length if c == "n_chars" else F.col(c) for c in columns])
+    return docs.select(*[length if c == "n_chars" else x for c, x in zip(columns, cols(columns))])
 
 
 STAGES = [

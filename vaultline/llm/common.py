@@ -43,9 +43,14 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
 
+def cols(columns: Sequence[str]) -> list[Column]:
+    """Columns by name, also by names with dots."""
+    return [F.col(f"`{c}`") for c in columns]
+
+
 def whole_row(columns: Sequence[str]) -> Column:
     """The columns as one struct ``row``, so that working columns beside it never clash with theirs."""
-    return F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
+    return F.struct(*cols(columns)).alias("row")
 
 
 def from_row(columns: Sequence[str]) -> list[Column]:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vaultline.llm.common import WHITE, WHITE_RE, fresh, from_row, shuffle_partitions, whole_row
+from vaultline.llm.common import WHITE, WHITE_RE, cols, fresh, from_row, shuffle_partitions, whole_row
 
 K = 128
 SHINGLE_WORDS = 5
@@ -88,7 +88,7 @@ def sketches(df: DataFrame, text_col: str = "text", out: str = "sketch", k: int
     kept = [c for c in df.columns if c != out]
     words = words_of(F.coalesce(df[text_col].cast("string"), F.lit("")))
     step = df.withColumn(text, words).withColumn(hashed, F.transform(F.col(text), lambda w: F.xxhash64(w)))
-    return step.withColumn(out, bottom(shingle_hashes(F.col(hashed), shingle_words), k)).select(*kept, out)
+    return step.withColumn(out, bottom(shingle_hashes(F.col(hashed), shingle_words), k)).select(*cols(kept), out)
 
 
 def with_next(df: DataFrame, order_col: str, columns: list[str]) -> DataFrame:

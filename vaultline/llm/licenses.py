@@ -12,11 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import fresh
+from vaultline.llm.common import cols, fresh
 
 #: Equivalent spellings in canonical text, as (Java pattern, replacement); none makes a text longer.
 SPELLINGS = (
-    (r"\blicenc(e|es|ed|ing|ee|ees|or|ors)\b", "licens$1"),
+    (r"\b(sub)?licenc(e|es|ed|ing|ee|ees|or|ors)\b", "$1licens$2"),
     (r"\bsub licens", "sublicens"),
     (r"\bnon commercial", "noncommercial"),
     (r"\bper cent\b", "percent"),
@@ -128,19 +128,19 @@ def scan(df: DataFrame, text_col: str = "text", known: DataFrame | None = None)
     longest = max((n for _, _, n in found), default=0)
     kept = [c for c in df.columns if c not in ("canonical_sha256", "license_id", "notices")]
     lines, whole, digest, name = fresh(df, "lines", "whole", "digest", "name")
-    table = df.select(*kept, canonical_lines(df[text_col].cast("string")).alias(lines))
+    table = df.select(*cols(kept), canonical_lines(df[text_col].cast("string")).alias(lines))
     table = table.withColumn(whole, canonical(F.col(lines), longest))
     table = table.withColumn("canonical_sha256", F.when(F.col(whole) != "", F.sha2(whole, 256)))
     names = spark.createDataFrame([(d, i) for i, d, _ in found], f"`{digest}` string, `{name}` string")
     table = table.join(F.broadcast(names), F.col("canonical_sha256") == F.col(digest), "left")  # at most MAX_KNOWN rows
     if not found:
-        return table.select(*kept, "canonical_sha256", F.col(name).alias("license_id"), F.array().cast("array<string>").alias("notices"))
+        return table.select(*cols(kept), "canonical_sha256", F.col(name).alias("license_id"), F.array().cast("array<string>").alias("notices"))
     short = F.filter(F.col(lines), lambda x: F.length(x) <= 2 * longest)
     line_digests = F.transform(short, lambda x: F.sha2(_spelled(x), 256))
     hits = F.array_intersect(line_digests, F.array(*[F.lit(d) for _, d, _ in found]))
     by_digest = F.create_map(*[F.lit(x) for i, d, _ in found for x in (d, i)])
     return table.select(
-        *kept,
+        *cols(kept),
         "canonical_sha256",
         F.col(name).alias("license_id"),
         F.sort_array(F.transform(hits, lambda d: F.element_at(by_digest, d))).alias("notices"),

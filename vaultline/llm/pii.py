@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import content_key, discard, fresh, from_row, publish, python_side, whole_row
+from vaultline.llm.common import cols, content_key, discard, fresh, from_row, publish, python_side, whole_row
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -230,4 +230,4 @@ def redact(df: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> DataF
             yield pd.Series([redact_text(t, s) for t, s in zip(texts, lists)], dtype=object)
 
     text = F.when(F.size(spans) > 0, clean(F.col(text_col).cast("string"), F.col(spans))).otherwise(F.col(text_col).cast("string"))
-    return found.select(*[text.alias(c) if c == text_col else F.col(c) for c in df.columns])
+    return found.select(*[text.alias(c) if c == text_col else x for c, x in zip(df.columns, cols(df.columns))])
