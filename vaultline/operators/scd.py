@@ -59,6 +59,12 @@ def one_row_per_key_version(snapshots: DataFrame, keys, version: str) -> DataFra
             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in data], version))
 
 
+def one_row_per_key(snapshot: DataFrame, keys) -> DataFrame:
+    """The same for one snapshot without a version column."""
+    marked = one_row_per_key_version(snapshot.withColumn("_one", F.lit(0)), keys, "_one")
+    return marked.select(*snapshot.columns)
+
+
 def _prepared(snapshots: DataFrame, keys, version, track_except):
     keys = list(keys)
     snapshots = one_row_per_key_version(snapshots, keys, version).select(*snapshots.columns)
@@ -105,20 +111,21 @@ def change_feed(snapshots: DataFrame, keys, version: str = "version") -> DataFra
     prev_vals = [F.lag(c).over(w).alias(f"_p_{c}") for c in data]
     nxt = F.lead(version).over(w)
     df = df.select("*", *prev_vals, nxt.alias("_next_v"))
-    cols = lambda prefix: [F.col(f"{prefix}{c}").alias(c) for c in data]
-    ins = df.filter("_is_insert").select(*keys, *cols(""), F.lit("insert").alias("_change_type"),
-                                         F.col(version).alias("_commit_version"))
-    changed = df.filter(~F.col("_is_insert") & (F.col("_hall") != F.col("_prev_hall")))
-    pre = changed.select(*keys, *cols("_p_"), F.lit("update_preimage").alias("_change_type"),
-                         F.col(version).alias("_commit_version"))
-    post = changed.select(*keys, *cols(""), F.lit("update_postimage").alias("_change_type"),
-                          F.col(version).alias("_commit_version"))
-    gone = df.filter(F.col("_next_global").isNotNull()
-                     & (F.col("_next_v").isNull() | (F.col("_next_v") != F.col("_next_global"))))
-    dele = gone.select(*keys, *cols(""), F.lit("delete").alias("_change_type"),
-                       F.col("_next_global").alias("_commit_version"))
-    return reduce(lambda a, b: a.unionByName(b), [ins, pre, post, dele]).withColumn(
-        "_commit_version", F.col("_commit_version").cast("bigint"))
+    changed = ~F.col("_is_insert") & (F.col("_hall") != F.col("_prev_hall"))
+    gone = F.col("_next_global").isNotNull() & (F.col("_next_v").isNull() | (F.col("_next_v") != F.col("_next_global")))
+
+    def event(when, kind: str, at: str, prefix: str = ""):
+        row = [F.col(f"{prefix}{c}").alias(c) for c in data]
+        return F.when(when, F.struct(*row, F.lit(kind).alias("_change_type"), F.col(at).cast("bigint").alias("_commit_version")))
+
+    # One window pass: every version row emits its up to three change rows.
+    events = F.array_compact(F.array(
+        event(F.col("_is_insert"), "insert", version),
+        event(changed, "update_preimage", version, "_p_"),
+        event(changed, "update_postimage", version),
+        event(gone, "delete", "_next_global"),
+    ))
+    return df.select(*keys, F.inline(events))
 
 
 def scd1_from_snapshots(snapshots: DataFrame, keys, version: str = "version",
@@ -138,11 +145,13 @@ def scd2_apply_snapshot(history: DataFrame, snapshot: DataFrame, keys, version:
                         track_except=()) -> DataFrame:
     """Apply ONE new full snapshot (at ``version``) to an SCD2 history.
 
+    A key that the snapshot repeats counts once, as in the batch form.
     Only open rows take part in the full outer join; closed rows are
     appended unchanged.  Result = closed history + closed-now rows + open
     rows (unchanged, updated in place, or newly opened).
     """
     keys = list(keys)
+    snapshot = one_row_per_key(snapshot, keys)
     data = [c for c in snapshot.columns if c not in keys]
     tracked = [c for c in data if c not in set(track_except)]
     closed = history.filter(F.col(END).isNotNull())

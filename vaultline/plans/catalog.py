@@ -123,7 +123,7 @@ JOIN {s['investigation_case']} ic ON ac.investigation_case_key = ic.investigatio
 WHERE ic.case_status NOT IN ('CLOSED', 'RESOLVED')""")
     return q.sql(f"""SELECT p.party_key, p.party_type, p.party_status, cpv.preferred_contact_method,
   cpv.effective_from AS profile_effective_from, lk.verification_status AS kyc_verification_status,
-  lk.id_type AS kyc_id_type, lk.id_number AS kyc_id_number, ce.employer_name, ce.job_title,
+  lk.id_type AS kyc_id_type, sha256('KYC_ID|' || lk.id_number) AS kyc_id_number, ce.employer_name, ce.job_title,
   CASE WHEN ce.monthly_income IS NULL THEN NULL WHEN ce.monthly_income < 10000000 THEN '<10M'
        WHEN ce.monthly_income < 30000000 THEN '10-30M' WHEN ce.monthly_income < 100000000 THEN '30-100M'
        ELSE '100M+' END AS monthly_income_band,

@@ -295,11 +295,12 @@ FROM {atm} a LEFT JOIN card_acct ca ON a.card_id = ca.card_id LEFT JOIN acct_par
 UNION ALL
 SELECT {HK("'payment_gateway'", "'GATEWAY_PAYMENT'", 'g.gateway_txn_id')}, 'GATEWAY_PAYMENT',
   coalesce(va.ak, vc.ak),
-  CASE WHEN g.card_txn_id IS NOT NULL THEN {HK("'card_system'", 'g.card_txn_id')} END, ap.pk,
+  CASE WHEN gc.card_id IS NOT NULL THEN {HK("'card_system'", 'gc.card_id')} END, ap.pk,
   CAST(NULL AS VARCHAR), coalesce(g.currency, 'VND'), g.gateway_timestamp,
   {tail('payment_gateway', 'payment_gateway_log', 'g.gateway_txn_id')}
 FROM {gw} g LEFT JOIN via_acct va ON g.account_txn_id = va.account_txn_id
   LEFT JOIN via_card vc ON g.card_txn_id = vc.card_txn_id
+  LEFT JOIN {ct} gc ON g.card_txn_id = gc.card_txn_id
   LEFT JOIN acct_party ap ON ap.account_key = coalesce(va.ak, vc.ak)"""
 
 

@@ -170,7 +170,7 @@ def _incremental(spark, sf):
     for v in versions:
         snap = snaps.filter(F.col("version") == v).drop("version")
         if hist is None:
-            hist = snap.withColumn(scd.START, F.lit(v).cast("bigint")).withColumn(
+            hist = scd.one_row_per_key(snap, KEYS).withColumn(scd.START, F.lit(v).cast("bigint")).withColumn(
                 scd.END, F.lit(None).cast("bigint"))
         else:
             hist = scd.scd2_apply_snapshot(hist, snap, KEYS, v, track_except=UNTRACKED_COLUMNS)

@@ -247,13 +247,17 @@ register("contract_remediation", _remediation_sql())(_remediation)
 ERROR_RATE_LIMIT = 5.0
 
 
+# Fixed value: the contract's latency.
+FRESHNESS_LIMIT_HOURS = 4
+
+
 def _sla(spark, sf):
     """Alert-score error rate vs. the 5 % limit, and event freshness."""
     fa = P.bronze(spark, sf, "fraud_alert")
     rate = fa.agg(F.round(F.count_if(~F.coalesce((F.col("alert_score") >= 0) & (F.col("alert_score") <= 100),
                                                  F.lit(False))).cast("double") * 100 / F.count(F.lit(1)), 4)
                   .alias("error_rate_percent"))
-    fresh = C.freshness(P.bronze(spark, sf, "account_transaction"), "txn_timestamp", fx.ORDER_AS_OF, 24 * 120)
+    fresh = C.freshness(P.bronze(spark, sf, "account_transaction"), "txn_timestamp", fx.ORDER_AS_OF, FRESHNESS_LIMIT_HOURS)
     return side_by_side(rate, fresh).select(
         "error_rate_percent", (F.col("error_rate_percent") <= ERROR_RATE_LIMIT).alias("error_rate_ok"),
         F.col("latest_ts").cast("timestamp_ntz").alias("latest_ts"), "lag_hours", "within_sla")
@@ -265,7 +269,7 @@ def _sla_sql() -> str:
     q.normalized("account_transaction")
     return q.sql(f"""SELECT r.error_rate_percent, r.error_rate_percent <= {ERROR_RATE_LIMIT} AS error_rate_ok,
   f.latest_ts, round((epoch(TIMESTAMP '{fx.ORDER_AS_OF}') - epoch(f.latest_ts)) / 3600, 4) AS lag_hours,
-  (epoch(TIMESTAMP '{fx.ORDER_AS_OF}') - epoch(f.latest_ts)) / 3600 <= {24 * 120} AS within_sla
+  (epoch(TIMESTAMP '{fx.ORDER_AS_OF}') - epoch(f.latest_ts)) / 3600 <= {FRESHNESS_LIMIT_HOURS} AS within_sla
 FROM (SELECT round(CAST(count_if(NOT coalesce(alert_score >= 0 AND alert_score <= 100, FALSE)) AS DOUBLE) * 100
         / count(*), 4) AS error_rate_percent FROM r_fraud_alert) r,
      (SELECT max(txn_timestamp) AS latest_ts FROM r_account_transaction) f""")

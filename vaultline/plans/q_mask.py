@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -185,12 +187,10 @@ def _mapping_sql() -> str:
 
 register("mask_mapping_join", _mapping_sql())(_mapping)
 
-TEST_KEY = "0123456789abcdef0123456789abcdef"
-
 
 def _roundtrip(spark, sf):
     if not spark.conf.get("vaultline.mask.key", None):
-        spark.conf.set("vaultline.mask.key", TEST_KEY)   # tests only; clusters set their own
+        spark.conf.set("vaultline.mask.key", secrets.token_hex(16))   # a key for this session only
     key = spark.conf.get("vaultline.mask.key")
     c = _core(spark, sf).select("cust_no", "national_id")
     enc = c.withColumn("national_id_enc", M.encrypt("national_id", spark=spark))

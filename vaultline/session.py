@@ -36,12 +36,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
     Reads ``spark.checkpoint.dir`` from the session (set by the cluster);
-    only when it is unset (tests, local runs) a scratch folder is created.
+    only when it is unset and the master is local (tests) a scratch folder is
+    created.  On a cluster an unset folder is an error: executors would write
+    to their own disks and later reads would miss those files.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="vaultline-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

@@ -120,36 +120,52 @@ def window_result(spark: SparkSession, sink: str) -> DataFrame:
 
 def scd2_stream(spark: SparkSession, source: DataFrame, keys: list[str], version: str, sink: str,
                 checkpoint: str, track_except=()) -> None:
-    """Snapshot stream -> SCD2 history.  A micro-batch may carry several
-    snapshot versions; they are applied in version order.  The history of
-    batch ``b`` is written to ``history/batch_id=b`` (overwrite: replay
-    safe) and read back by batch ``b+1``.  A snapshot older than the
-    history's latest version is rejected."""
-    def history_before(batch_id: int):
-        # A replayed batch (failure after its write) must start from the
-        # previous batch's history, not from the one it already wrote.
-        done = [b for b in _versions(spark, f"{sink}/history") if b < batch_id]
-        return None if not done else spark.read.parquet(f"{sink}/history/batch_id={done[-1]}")
+    """Snapshot stream -> SCD2 history.
+
+    A micro-batch may carry several snapshot versions, and a snapshot's files
+    may arrive in several micro-batches: the newest version stays *pending*
+    until a later one appears, and is merged with what arrives of it.  Each
+    batch writes, under its id (overwrite: replay safe), the settled history,
+    the pending rows, the last settled version and, last, the visible history
+    (settled plus pending).  Rows of a settled version are rejected, also
+    when that version changed nothing.
+    """
+    def table(kind: str, batch_id: int) -> str:
+        return f"{sink}/{kind}/batch_id={batch_id}"
+
+    def applied(history, rows: DataFrame, at: int) -> DataFrame:
+        snap = rows.filter(F.col(version) == at).drop(version)
+        if history is None:
+            return (scd.one_row_per_key(snap, keys).withColumn(scd.START, F.lit(at).cast("bigint"))
+                    .withColumn(scd.END, F.lit(None).cast("bigint")))
+        return scd.scd2_apply_snapshot(history, snap, keys, at, track_except=track_except)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        hist = history_before(batch_id)
+        # A replayed batch starts from the batch before it, not from what it already wrote.
+        done = [b for b in _versions(spark, f"{sink}/history") if b < batch_id]
+        settled, last, rows = None, None, batch
+        if done:
+            last = spark.read.parquet(table("settled_version", done[-1])).first()[0]
+            rows = batch.unionByName(spark.read.parquet(table("pending", done[-1])))
+            if last is not None:
+                settled = spark.read.parquet(table("settled", done[-1]))
         # distinct snapshot versions in this batch: one small value per snapshot
-        versions = sorted(r[0] for r in batch.select(version).distinct().collect())
-        if hist is not None and versions:
-            seen = hist.agg(F.max(F.greatest(F.col(scd.START), F.coalesce(F.col(scd.END), F.col(scd.START)))))\
-                .collect()[0][0]
-            if seen is not None and versions[0] <= seen:
-                raise ValueError(f"snapshot {versions[0]} is not newer than history version {seen}")
-        for v in versions:
-            snap = batch.filter(F.col(version) == v).drop(version)
-            if hist is None:
-                hist = (snap.withColumn(scd.START, F.lit(v).cast("bigint"))
-                        .withColumn(scd.END, F.lit(None).cast("bigint")))
-            else:
-                hist = scd.scd2_apply_snapshot(hist, snap, keys, v, track_except=track_except)
-            hist = hist.checkpoint(eager=True)             # cut lineage per applied snapshot
-        if hist is not None:
-            hist.write.mode("overwrite").parquet(f"{sink}/history/batch_id={batch_id}")
+        versions = sorted(r[0] for r in rows.select(version).distinct().collect())
+        if not versions:
+            return
+        if last is not None and versions[0] <= last:
+            raise ValueError(f"snapshot {versions[0]} is not newer than settled version {last}")
+        for v in versions[:-1]:
+            settled = applied(settled, rows, v).checkpoint(eager=True)             # cut lineage per applied snapshot
+            last = v
+        newest = versions[-1]
+        if settled is not None:
+            settled.write.mode("overwrite").parquet(table("settled", batch_id))
+            settled = spark.read.parquet(table("settled", batch_id))
+        rows.filter(F.col(version) == newest).write.mode("overwrite").parquet(table("pending", batch_id))
+        (spark.range(1).select(F.lit(last).cast("bigint").alias("version"))
+         .write.mode("overwrite").parquet(table("settled_version", batch_id)))
+        applied(settled, rows, newest).write.mode("overwrite").parquet(table("history", batch_id))
 
     q = (source.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
