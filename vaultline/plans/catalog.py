@@ -33,52 +33,50 @@ for _name in P.SILVER_TABLES + ("financial_event_association",):
 
 
 # -------------------------------------------------------------------- gold
+# Subtype table -> its columns for (amount, detail, direction, channel, merchant, source flag).
+_SUBTYPE_COLUMNS = {
+    "account_posting": ("posting_amount", "posting_type", "posting_direction", "channel_key", "merchant_key", "NULL"),
+    "card_payment": ("payment_amount", "card_transaction_type", "NULL", "NULL", "merchant_key", "is_fraud_source_flag"),
+    "atm_activity": ("amount", "activity_type", "NULL", "NULL", "NULL", "NULL"),
+    "gateway_payment": ("amount", "payment_method", "NULL", "NULL", "merchant_key", "NULL"),
+}
+
+
 def _gold_fraud_sql() -> str:
+    """Events with their subtype's details; counts and latest values as scalar lookups per event."""
     q = O.Q()
-    fe, ap, cp, atm, gp = (q.silver(n) for n in ("financial_event", "account_posting", "card_payment",
-                                                  "atm_activity", "gateway_payment"))
-    tc, m, ml, rs = (q.silver(n) for n in ("transaction_channel", "merchant", "merchant_location",
-                                           "financial_event_risk_score"))
-    fefa, fa, cff = (q.silver(n) for n in ("financial_event_fraud_alert", "fraud_alert",
-                                           "financial_event_card_fraud_flag"))
-    q.add("lr", f"""SELECT financial_event_key, model_score, risk_band FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY financial_event_key
-    ORDER BY scored_date DESC NULLS LAST, financial_event_risk_score_key DESC) AS rn FROM {rs}) WHERE rn = 1""")
-    q.add("faa", f"""SELECT x.financial_event_key, count(DISTINCT x.fraud_alert_key) AS fraud_alert_count,
-  max(a.alert_score) AS max_fraud_alert_score, bool_or(a.alert_status <> 'CLOSED') AS open_fraud_alert_flag
-FROM {fefa} x JOIN {fa} a ON x.fraud_alert_key = a.fraud_alert_key GROUP BY x.financial_event_key""")
-    q.add("cfa", f"SELECT financial_event_key, count(DISTINCT card_fraud_flag_key) AS card_fraud_flag_count "
-                 f"FROM {cff} GROUP BY financial_event_key")
-    q.add("msr", f"""SELECT merchant_key, count(*) AS merchant_store_count,
-  CASE max(CASE risk_rating WHEN 'HIGH' THEN 3 WHEN 'MEDIUM' THEN 2 WHEN 'LOW' THEN 1 ELSE 0 END)
-    WHEN 3 THEN 'HIGH' WHEN 2 THEN 'MEDIUM' WHEN 1 THEN 'LOW' END AS merchant_max_store_risk
-FROM {ml} GROUP BY merchant_key""")
-    mk = "coalesce(ap.merchant_key, cp.merchant_key, gp.merchant_key)"
-    return q.sql(f"""SELECT fe.financial_event_key, fe.event_type, fe.occurred_at,
-  coalesce(ap.posting_amount, cp.payment_amount, atm.amount, gp.amount) AS amount, fe.currency,
-  coalesce(ap.posting_type, cp.card_transaction_type, atm.activity_type, gp.payment_method) AS transaction_type_detail,
-  ap.posting_direction, fe.account_key, fe.payment_card_key, fe.party_key, ap.channel_key, tc.channel_name,
-  tc.channel_type, {mk} AS merchant_key, m.merchant_name, m.mcc_code, m.country AS merchant_country,
-  coalesce(msr.merchant_store_count, 0) AS merchant_store_count, msr.merchant_max_store_risk,
-  lr.model_score AS latest_risk_score, lr.risk_band AS latest_risk_band,
-  coalesce(faa.fraud_alert_count, 0) AS fraud_alert_count, faa.max_fraud_alert_score,
-  coalesce(faa.open_fraud_alert_flag, FALSE) AS open_fraud_alert_flag,
-  coalesce(cfa.card_fraud_flag_count, 0) AS card_fraud_flag_count, cp.is_fraud_source_flag,
-  fe.source_system, fe.source_business_key, '{O.RUN_ID}' AS pipeline_run_id,
-  CASE WHEN fe.data_quality_status = 'QUARANTINED' THEN 'REJECTED_QUALITY'
-       WHEN fe.party_key IS NULL THEN 'WARNING_UNRESOLVED_PARTY' ELSE 'PASSED_CLEAN' END AS dq_status
-FROM {fe} fe
-LEFT JOIN {ap} ap ON ap.financial_event_key = fe.financial_event_key AND fe.event_type = 'ACCOUNT_POSTING'
-LEFT JOIN {cp} cp ON cp.financial_event_key = fe.financial_event_key AND fe.event_type = 'CARD_PAYMENT'
-LEFT JOIN {atm} atm ON atm.financial_event_key = fe.financial_event_key AND fe.event_type = 'ATM_ACTIVITY'
-LEFT JOIN {gp} gp ON gp.financial_event_key = fe.financial_event_key AND fe.event_type = 'GATEWAY_PAYMENT'
-LEFT JOIN {tc} tc ON tc.channel_key = ap.channel_key
-LEFT JOIN msr ON msr.merchant_key = {mk}
-LEFT JOIN {m} m ON m.merchant_key = {mk}
-LEFT JOIN lr ON lr.financial_event_key = fe.financial_event_key
-LEFT JOIN faa ON faa.financial_event_key = fe.financial_event_key
-LEFT JOIN cfa ON cfa.financial_event_key = fe.financial_event_key
-WHERE fe.financial_event_key IS NOT NULL""")
+    names = ("amount", "transaction_type_detail", "posting_direction", "channel_key", "merchant_key", "is_fraud_source_flag")
+    q.add("details", " UNION ALL ".join(
+        f"SELECT financial_event_key, {', '.join(f'{x} AS {n}' for x, n in zip(columns, names))} FROM {q.silver(table)}"
+        for table, columns in _SUBTYPE_COLUMNS.items()))
+    q.add("scores", f"""SELECT financial_event_key, model_score AS latest_risk_score, risk_band AS latest_risk_band
+FROM {q.silver("financial_event_risk_score")}
+QUALIFY 1 = row_number() OVER (PARTITION BY financial_event_key
+  ORDER BY scored_date DESC NULLS LAST, financial_event_risk_score_key DESC)""")
+    q.add("alerts", f"""SELECT financial_event_key, count(*) AS alerts, max(alert_score) AS top, bool_or(alert_status <> 'CLOSED') AS any_open
+FROM (SELECT DISTINCT financial_event_key, fraud_alert_key FROM {q.silver("financial_event_fraud_alert")})
+JOIN {q.silver("fraud_alert")} USING (fraud_alert_key) GROUP BY financial_event_key""")
+    q.add("flags", f"""SELECT financial_event_key, count(*) AS flags
+FROM (SELECT DISTINCT financial_event_key, card_fraud_flag_key FROM {q.silver("financial_event_card_fraud_flag")}
+      WHERE card_fraud_flag_key IS NOT NULL) GROUP BY financial_event_key""")
+    q.add("stores", f"""SELECT merchant_key, count(*) AS stores,
+  max(list_position(['LOW', 'MEDIUM', 'HIGH'], risk_rating)) AS worst FROM {q.silver("merchant_location")} GROUP BY merchant_key""")
+    return q.sql(f"""SELECT e.financial_event_key, event_type, occurred_at, amount, e.currency, transaction_type_detail,
+  posting_direction, account_key, payment_card_key, party_key, d.channel_key, c.channel_name, c.channel_type,
+  d.merchant_key, s.merchant_name, s.mcc_code, s.country AS merchant_country,
+  coalesce(stores, 0) AS merchant_store_count,
+  list_extract(['LOW', 'MEDIUM', 'HIGH'], worst) AS merchant_max_store_risk,
+  latest_risk_score, latest_risk_band, coalesce(alerts, 0) AS fraud_alert_count, top AS max_fraud_alert_score,
+  coalesce(any_open, FALSE) AS open_fraud_alert_flag, coalesce(flags, 0) AS card_fraud_flag_count, is_fraud_source_flag,
+  e.source_system, e.source_business_key, '{O.RUN_ID}' AS pipeline_run_id,
+  if(e.data_quality_status = 'QUARANTINED', 'REJECTED_QUALITY',
+     if(party_key IS NULL, 'WARNING_UNRESOLVED_PARTY', 'PASSED_CLEAN')) AS dq_status
+FROM {q.silver("financial_event")} e LEFT JOIN details d USING (financial_event_key)
+LEFT JOIN {q.silver("transaction_channel")} c ON c.channel_key = d.channel_key
+LEFT JOIN {q.silver("merchant")} s ON s.merchant_key = d.merchant_key
+LEFT JOIN stores ON stores.merchant_key = d.merchant_key
+LEFT JOIN scores USING (financial_event_key) LEFT JOIN alerts USING (financial_event_key)
+LEFT JOIN flags USING (financial_event_key)""")
 
 
 def _latest(src: str, key: str, order: str, cols: str) -> str:

@@ -806,6 +806,11 @@ def _cache(spark: SparkSession, sf_dir: str) -> dict:
     return _SESSION_CACHE[key]
 
 
+def forget() -> None:
+    """Drop the registry: the next query builds and publishes its sources anew."""
+    _SESSION_CACHE.clear()
+
+
 def base_tables_of(name: str) -> list[str]:
     return [t for t in BASE_TABLES if re.search(rf"\b(FROM|JOIN)\s+{t}\b", FIXTURES[name])]
 
