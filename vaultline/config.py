@@ -119,9 +119,3 @@ def spec(table: str) -> TableSpec:
         return TABLES[table]
     except KeyError as error:
         raise ValueError(f"unknown source table: {table!r}") from error
-
-
-def tables_in(domain: str) -> list[TableSpec]:
-    if domain not in DOMAINS:
-        raise ValueError(f"unknown domain: {domain!r}")
-    return [t for t in TABLES.values() if t.domain == domain]

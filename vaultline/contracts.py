@@ -16,7 +16,6 @@ PAN_MASK = r"^[0-9]{6}\*{6}[0-9]{4}$"
 CIF = r"^CIF[0-9]{8}$"
 EMAIL = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 CUSTOMER_REF = r"^(CB-[0-9]{4,}|CRM-[0-9]{3,})$"
-DIGITS = r"^[0-9]+$"
 
 # Reference list of supported chargeback reason codes.
 CHARGEBACK_REASON_CODES = ("4837", "4853", "4863", "4808", "4834", "4855")

@@ -75,10 +75,6 @@ def _digits(v: Column) -> Column:
     return F.regexp_replace(v, "[^0-9]", "")
 
 
-def _right(v: Column, n: int) -> Column:
-    return F.expr(f"right(_v, {n})") if False else F.substring(v, -n, n)
-
-
 def _rule_expr(v: Column, rule: tuple, email_domain: str) -> Column:
     kind = rule[0]
     md5 = F.md5(v)

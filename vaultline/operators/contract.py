@@ -62,12 +62,6 @@ def _q(v) -> str:
     return "'" + str(v).replace("'", "''") + "'"
 
 
-def _passes(op: str, value: Column, threshold: float) -> Column:
-    t = F.lit(threshold)
-    return {"mustBe": value == t, "mustBeLessThan": value < t, "mustBeGreaterThan": value > t,
-            "mustBeLessOrEqualTo": value <= t}[op]
-
-
 def evaluate(df: DataFrame, checks: list[Check]) -> DataFrame:
     """All checks of ONE table in a single aggregation -> long result."""
     if not checks:
@@ -134,11 +128,6 @@ def canonical_key(col: str) -> Column:
     return F.upper(F.trim(F.col(col)))
 
 
-def standardise_timestamp(col: str, formats=("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "dd/MM/yyyy HH:mm")) -> Column:
-    """First format that parses wins; unparseable text -> NULL (never an error)."""
-    return F.coalesce(*[F.try_to_timestamp(F.col(col).cast("string"), F.lit(f)) for f in formats])
-
-
 def freshness(df: DataFrame, ts_col: str, as_of: str, max_hours: float) -> DataFrame:
     """Latest event time vs. as-of: hours of lag and whether within SLA."""
     latest = df.agg(F.max(ts_col).alias("latest_ts"))

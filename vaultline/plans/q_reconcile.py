@@ -142,22 +142,18 @@ register("dq_change_manifest", _manifest_sql())(_manifest)
 
 # ------------------------------------------------ expectations (DQ-10)
 def _expect_or_drop(spark, sf):
-    """Gold expectation: rows without a key are dropped, and the pass/fail
-    counts are observed on the same pass (``observe`` metrics)."""
-    from pyspark.sql import Observation
-
+    """Gold expectation: rows without a key are dropped; passed and dropped
+    rows are counted in the same aggregation and returned."""
     fe = P.silver(spark, sf, "financial_event")
-    obs = Observation("valid_financial_event_key")
-    observed = fe.observe(obs, F.count(F.lit(1)).alias("rows"),
-                          F.count_if(F.col("financial_event_key").isNotNull()).alias("passed"))
-    kept = observed.filter(F.col("financial_event_key").isNotNull())
-    return kept.groupBy("event_type").agg(F.count(F.lit(1)).alias("kept_rows"))
+    has_key = F.col("financial_event_key").isNotNull()
+    return fe.groupBy("event_type").agg(F.count_if(has_key).alias("kept_rows"), F.count_if(~has_key).alias("dropped_rows"))
 
 
 def _expect_sql() -> str:
     q = O.Q()
     fe = q.silver("financial_event")
-    return q.sql(f"SELECT event_type, count(*) AS kept_rows FROM {fe} WHERE financial_event_key IS NOT NULL "
+    return q.sql(f"SELECT event_type, count(financial_event_key) AS kept_rows, "
+                 f"count(*) - count(financial_event_key) AS dropped_rows FROM {fe} "
                  f"GROUP BY event_type")
 
 
