@@ -28,7 +28,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,13 +36,14 @@ from vaultline.llm.common import python_side
 from vaultline.llm.tokens import SPECIAL, TextEncoder, byte_letters, vocabulary_path
 
 _NEVER = 1 << 30
-_ARCS = 1 << 20  # filled entries of the arc table kept in a worker
+_ARCS = 1 << 18  # filled entries of the arc table kept in a worker
+MEMO = 1 << 19  # texts' cuts in one generation of the memo; the automaton needs room beside it
 
 
 class Automaton:
     """Deterministic automaton over token labels, compiled from a merge list."""
 
-    def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]], specials: dict[str, int]) -> None:
+    def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]]) -> None:
         letters = byte_letters()
         as_bytes = lambda label: bytes(letters[c] for c in label)
         self.made: dict[tuple[int, int], int] = {}
@@ -66,7 +67,6 @@ class Automaton:
                 node = self.trie[node][byte]
             self.ends[node] = token
         self.length = {token: len(label) for token, label in self.label.items()}
-        self.emit = self.label | {token: text.encode() for text, token in specials.items()}
         self.arcs: dict[tuple[int, int], bool] = {}
 
     def _loop(self, token: int, label: bytes) -> None:
@@ -141,16 +141,25 @@ class Automaton:
                 pos -= length[out.pop()]
         return out
 
-    def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.emit.__getitem__, ids.tolist())).decode("utf-8", "replace")
+
+def _read(path: str) -> dict:
+    with open(path, encoding="utf-8") as file:
+        return json.load(file)
 
 
 @lru_cache(maxsize=2)
 def load(path: str) -> Automaton:
-    with open(path, encoding="utf-8") as file:
-        spec = json.load(file)
-    merges = [tuple(m.split(" ", 1)) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
-    return Automaton(spec["model"]["vocab"], merges, {x["content"]: x["id"] for x in spec["added_tokens"]})
+    """The automaton of a vocabulary file."""
+    model = _read(path)["model"]
+    return Automaton(model["vocab"], [tuple(m.split(" ", 1)) if isinstance(m, str) else tuple(m) for m in model["merges"]])
+
+
+@lru_cache(maxsize=2)
+def labels(path: str) -> dict[int, bytes]:
+    """What each arc label emits; special tokens emit their own string."""
+    spec, letters = _read(path), byte_letters()
+    out = {token: bytes(letters[c] for c in label) for label, token in spec["model"]["vocab"].items()}
+    return out | {x["id"]: x["content"].encode() for x in spec["added_tokens"]}
 
 
 @lru_cache(maxsize=2)
@@ -160,9 +169,8 @@ def encoder(path: str) -> TextEncoder:
 
     automaton = load(path)
     split = regex.compile(PATTERN).findall
-    with open(path, encoding="utf-8") as file:
-        special = {x["content"]: x["id"] for x in json.load(file)["added_tokens"]}.get(SPECIAL)
-    return TextEncoder(lambda word: automaton.encode(word.encode()), split, special)
+    special = {x["content"]: x["id"] for x in _read(path)["added_tokens"]}.get(SPECIAL)
+    return TextEncoder(lambda word: automaton.encode(word.encode()), split, special, MEMO)
 
 
 def encode(df: DataFrame, text_col: str = "text", ids_col: str = "ids", vocabulary: str | None = None) -> DataFrame:
@@ -173,11 +181,13 @@ def encode(df: DataFrame, text_col: str = "text", ids_col: str = "ids", vocabula
     python_side(df.sparkSession)
     path = vocabulary or vocabulary_path()
 
-    @F.pandas_udf("array<int>")
-    def ids_of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def ids_of(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         whole = encoder(path)
         for texts in parts:
-            yield pd.Series([np.frombuffer(whole(x), "<u4").astype("int32") for x in texts], dtype=object)
+            ids = [whole(x) for x in texts.to_pylist()]
+            ends = np.cumsum([0, *map(len, ids)]) >> 2
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
 
     return df.withColumn(ids_col, ids_of(df[text_col].cast("string")))
 
@@ -190,10 +200,14 @@ def decode(df: DataFrame, ids_col: str = "ids", text_col: str = "decoded", vocab
     python_side(df.sparkSession)
     path = vocabulary or vocabulary_path()
 
-    @F.pandas_udf("string")
-    def text_of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        automaton = load(path)
-        for ids in parts:
-            yield pd.Series(["" if x is None else automaton.decode(np.asarray(x)) for x in ids], dtype=object)
+    @F.arrow_udf("string")
+    def text_of(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        label = labels(path).__getitem__
+        for lists in parts:
+            ids = lists.values.to_numpy(zero_copy_only=False)
+            ends = lists.offsets.to_numpy()
+            known = lists.is_valid().to_numpy(zero_copy_only=False)
+            texts = [b"".join(map(label, ids[a:b].tolist())) if k else b"" for a, b, k in zip(ends, ends[1:], known)]
+            yield pa.array([x.decode("utf-8", "replace") for x in texts], pa.string())
 
     return df.withColumn(text_col, text_of(df[ids_col]))

@@ -42,16 +42,16 @@ def byte_letters() -> dict[str, int]:
 class Memo(dict):
     """Cut -> little-endian uint32 ids.  Two generations bound the memory; misses are encoded."""
 
-    def __init__(self, encode: Callable[[str], bytes]) -> None:
+    def __init__(self, encode: Callable[[str], bytes], entries: int) -> None:
         super().__init__()
-        self.encode, self.old = encode, {}
+        self.encode, self.entries, self.old = encode, entries, {}
 
     def __missing__(self, cut: str) -> bytes:
         ids = self.old.get(cut)
         if ids is None:
             ids = self.encode(cut)
         if len(cut) <= MEMO_CHARS:
-            if len(self) >= MEMO_ENTRIES:
+            if len(self) >= self.entries:
                 self.old = dict(self)
                 self.clear()
             self[cut] = ids
@@ -65,7 +65,7 @@ class TextEncoder:
     of the special token's string inside a text (None: ordinary text).
     """
 
-    def __init__(self, encode_word: Callable[[str], list[int]], split: Callable[[str], list[str]], special_id: int | None) -> None:
+    def __init__(self, encode_word: Callable[[str], list[int]], split: Callable[[str], list[str]], special_id: int | None, entries: int = MEMO_ENTRIES) -> None:
         def first(cut: str) -> bytes:
             return array("I", chain.from_iterable(map(encode_word, split(cut)))).tobytes()
 
@@ -76,7 +76,7 @@ class TextEncoder:
                 return self.rest[cut[:-1]] + self.first[cut[-1]]
             return first(" " + cut)
 
-        self.first, self.rest = Memo(first), Memo(rest)
+        self.first, self.rest = Memo(first, entries >> 4), Memo(rest, entries)
         self.special = None if special_id is None else array("I", [special_id]).tobytes()
 
     def section(self, text: str) -> bytes:
