@@ -48,11 +48,12 @@ class Node:
 
 
 def _by_number(nodes: list[Node], value: Callable[[Node], int | None], size: int) -> Column:
-    """The value for the row's node: a lookup in a literal array."""
+    """The value for the row's node: a lookup in a literal array (one expression, however many nodes)."""
     values: list[int | None] = [None] * size
     for n in nodes:
         values[n.number] = value(n)
-    return F.get(F.array(*[F.lit(x).cast("bigint") for x in values]), F.col("node"))
+    listed = ", ".join("null" if x is None else f"{x}L" for x in values)
+    return F.expr(f"cast(get(array({listed}), node) as bigint)")
 
 
 def _coordinate(place: Column) -> Column:
