@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import content_key, discard, from_row, publish, python_side, whole_row
+from vaultline.llm.common import content_key, discard, from_row, publish, python_side, shuffle_partitions, whole_row
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -145,7 +145,8 @@ def _estimates(sums: DataFrame, factor: float) -> DataFrame:
                 out.append((g, center.tolist(), np.linalg.inv(whole).ravel().tolist(), float(np.linalg.slogdet(whole)[1])))
             yield pd.DataFrame(out, columns=["g", "center", "inverse", "logdet"])
 
-    return sums.mapInPandas(run, "g string, center array<double>, inverse array<double>, logdet double")
+    few = max(1, shuffle_partitions(sums.sparkSession) // 16)  # one row per group: a Python task takes several partitions
+    return sums.coalesce(few).mapInPandas(run, "g string, center array<double>, inverse array<double>, logdet double")
 
 
 def _sums(rows: DataFrame) -> DataFrame:
