@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.session import checkpoint_dir
+from vaultline.session import checkpoint_dir, configure
 
 #: ASCII white space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = " \t\n\x0b\x0c\r"
@@ -20,6 +21,17 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 
 
+#: A join side is broadcast at run time only if its measured shuffle output is below this (several times that in memory).
+BROADCAST_BYTES = 16 << 20
+
+
+def settings(spark: SparkSession) -> SparkSession:
+    """The library's session settings, with a tighter bound for broadcasts beside long texts."""
+    configure(spark)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(BROADCAST_BYTES))
+    return spark
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -75,9 +87,41 @@ def scratch(spark: SparkSession, name: str) -> str:
     path = f"{checkpoint_dir(spark).rstrip('/')}/vaultline-llm/{name}-{uuid.uuid4().hex}"
     handle = spark._jvm.org.apache.hadoop.fs.Path(path)
     handle.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(handle)
+    if _tracking:
+        _working.append(path)
     return path
 
 
+_working: list[str] = []
+_tracking = False
+
+
+def pipeline_stage(stage: Callable) -> Callable:
+    """Mark a stage: its working tables live until the next stage begins on its written and reread result.
+
+    Tables that the next stage's documents still read (a result that was not
+    written) are left alone.
+    """
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        global _tracking
+        settings(spark)
+        if _working:
+            read = docs.inputFiles()
+            for path in [p for p in _working if not any(p.rsplit("/", 1)[1] in file for file in read)]:
+                handle = spark._jvm.org.apache.hadoop.fs.Path(path)
+                handle.getFileSystem(spark._jsc.hadoopConfiguration()).delete(handle, True)
+                _working.remove(path)
+        _tracking = True
+        try:
+            return stage(spark, docs, sf_dir)
+        finally:
+            _tracking = False
+
+    return run
+
+
 def publish(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back."""
     path = scratch(df.sparkSession, name)

@@ -8,12 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.llm import bpe, fingerprints, licenses, line_dedup, packing, pii, quality, sharding, simhash, token_counts
-from vaultline.llm.common import documents
-from vaultline.session import configure
+from vaultline.llm.common import documents, settings
 
 
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    settings(spark)
     pieces = packing.pack(documents(spark, sf_dir))
     return pieces.select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
@@ -21,7 +20,7 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    settings(spark)
     kept = line_dedup.drop_repeated_lines(documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
@@ -47,7 +46,7 @@ FROM keyed GROUP BY r, doc_id
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    settings(spark)
     docs = documents(spark, sf_dir).select("doc_id", "text")
     marked = simhash.near_duplicates(docs, keep=["doc_id"])
     return marked.select(
@@ -56,7 +55,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    settings(spark)
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     pairs = fingerprints.with_next(fingerprints.sketches(docs), "doc_id", ["text", "sketch"])
     n = F.char_length("text")
@@ -75,7 +74,7 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    settings(spark)
     placed = sharding.kd_shards(documents(spark, sf_dir))
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -84,12 +83,12 @@ def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    settings(spark)
     return token_counts.token_counts(documents(spark, sf_dir))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    settings(spark)
     judged = quality.judge(documents(spark, sf_dir), keep=["doc_id"])
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
@@ -97,7 +96,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    settings(spark)
     coded = bpe.decode(bpe.encode(documents(spark, sf_dir).select("doc_id", "text")).drop("text"))
     return coded.select(
         "doc_id",
@@ -108,7 +107,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    settings(spark)
     found = pii.find(documents(spark, sf_dir), keep=["doc_id"])
     base = F.filter("spans", lambda x: x.base)
     count = lambda kind: F.size(F.filter(base, lambda x: x.kind == kind)).cast("long").alias(f"n_{kind}")
@@ -118,7 +117,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    settings(spark)
     found = licenses.scan(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", "canonical_sha256", "license_id", F.array_join("notices", ";").alias("notices"))
 
