@@ -36,8 +36,8 @@ from vaultline.llm.common import python_side
 from vaultline.llm.tokens import SPECIAL, TextEncoder, byte_letters, vocabulary_path
 
 _NEVER = 1 << 30
-_ARCS = 1 << 18  # filled entries of the arc table kept in a worker
-MEMO = 1 << 19  # texts' cuts in one generation of the memo; the automaton needs room beside it
+_ARCS = 1 << 17  # filled entries of the arc table kept in a worker
+MEMO = 1 << 18  # texts' cuts in one generation of the memo; the automaton needs room beside it
 
 
 class Automaton:
