@@ -24,8 +24,9 @@ from vaultline.llm.tokens import library_encoder, vocabulary_path
 
 END_ID = 50256
 WIDTH = 2  # bytes of an id
-BLOCK_TOKENS = 1 << 16
-DOCUMENTS_PER_FILE = 5_000  # bounds a file, which Spark's binary reader takes as one row
+BLOCK_TOKENS = 1 << 14
+DOCUMENTS_PER_FILE = 2_000  # bounds a file, which Spark's binary reader takes as one row
+MEMO = 1 << 18  # cuts in one generation: these workers stay beside those of the scan
 
 
 def write_token_files(
@@ -44,7 +45,7 @@ def write_token_files(
 
     @F.pandas_udf("binary")
     def ids(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = library_encoder(vocabulary, special_as_text=True)
+        encode = library_encoder(vocabulary, special_as_text=True, entries=MEMO)
         for texts in parts:
             yield pd.Series([np.frombuffer(encode(x), "<u4").astype(kind).tobytes() for x in texts], dtype=object)
 

@@ -92,7 +92,7 @@ class TextEncoder:
 
 
 @lru_cache(maxsize=4)
-def library_encoder(path: str, special_as_text: bool = False) -> TextEncoder:
+def library_encoder(path: str, special_as_text: bool = False, entries: int = MEMO_ENTRIES) -> TextEncoder:
     """Encoder whose ids come from the ``tokenizers`` library (one per worker process and file)."""
     import json
 
@@ -108,4 +108,4 @@ def library_encoder(path: str, special_as_text: bool = False) -> TextEncoder:
     def encode_word(word: str) -> list[int]:
         return [x.id for x in tokenize(word.encode().decode("latin-1").translate(letters))]
 
-    return TextEncoder(encode_word, regex.compile(PATTERN).findall, None if special_as_text else specials.get(SPECIAL))
+    return TextEncoder(encode_word, regex.compile(PATTERN).findall, None if special_as_text else specials.get(SPECIAL), entries)
