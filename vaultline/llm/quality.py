@@ -33,8 +33,9 @@ from vaultline.llm.common import content_key, discard, from_row, publish, python
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = b"#*$%&|<>"
-#: Statistic -> resolution (standard deviation added to every estimate).
-RESOLUTION = {"v_length": 0.10, "v_symbols": 0.035, "v_lines": 0.15, "v_repeats": 0.20, "v_capitals": 0.10}
+#: Statistic -> resolution (standard deviation added to every estimate).  It bounds the distance of a statistic, so each is
+#: small enough for the statistic to reject by itself in a tight group; one repeated line in a text of three stays regular.
+RESOLUTION = {"v_length": 0.05, "v_symbols": 0.035, "v_lines": 0.085, "v_repeats": 0.075, "v_capitals": 0.05}
 SHARE = 0.6
 #: Chance of a regular (normal) text to be rejected.
 REJECT = 1e-5
