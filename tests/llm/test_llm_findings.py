@@ -39,3 +39,12 @@ def test_quality_statistic_alone(spark, statistic):
     data.append((60, "\n".join(SPOILED[statistic](regular(60))), "en", "s"))
     got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(data, DOCS)).collect()}
     assert not got[60].base_failed and [i for i, r in got.items() if not r.kept] == [60]
+
+
+def test_quality_small_groups(spark):
+    """A small group is judged by the estimate of its language, or of the corpus, however many copies it has."""
+    data = [(i, "\n".join(regular(i)), "en", "s") for i in range(60)]
+    junk = ["\n".join(many_capitals(regular(60 + i))) for i in range(5)]
+    data += [(60 + i, junk[i % 5], "en", "rare") for i in range(30)] + [(90, junk[0], "xx", "rare"), (91, "\n".join(regular(1)), "xx", "rare")]
+    got = quality.judge(spark.createDataFrame(data, DOCS), min_group=50).collect()
+    assert {r.doc_id for r in got if not r.kept} == set(range(60, 91)) and all(r.distance is not None for r in got)

@@ -8,8 +8,8 @@ and estimate anew from those, until the determinants settle.  Each step is
 two map-side aggregations over a narrow table; only the estimates (one row
 per group) go through small Python tasks.  A text is rejected when its
 Mahalanobis distance from its group's estimate is beyond a chi-squared
-quantile.  Groups with few texts are estimated together with the other small
-groups of their language, then with all other small groups.
+quantile.  Groups with few texts are judged by an estimate over all texts of
+their language, or, where the language has few, over all texts of the corpus.
 
 Scatter estimates get the square of each statistic's resolution on the
 diagonal: differences below it say nothing about quality, so a group whose
@@ -228,13 +228,18 @@ def judge(
         .dropDuplicates(["fine", "ka", "kb"])
     )
     vectors = publish(vectors.drop("ka", "kb"), "vectors")
-    sizes = vectors.groupBy("fine", "lang").count()
-    pools = sizes.where(F.col("count") < min_group).groupBy("lang").agg(F.sum("count").alias("pool"))
-    g = F.when(F.col("count") >= min_group, F.col("fine")).when(F.col("pool") >= min_group, F.col("lang")).otherwise("")
-    groups = publish(sizes.join(pools, "lang", "left").select("fine", g.alias("g")), "groups")
-    dealt = vectors.join(groups, "fine")
-    enough = dealt.groupBy("g").count().where(F.col("count") >= FEWEST).select("g")
-    dealt = publish(dealt.join(enough, "g").select("g", *vector), "dealt")
+    sizes = publish(vectors.groupBy("fine", "lang").count(), "sizes")
+    spoken = sizes.groupBy("lang").agg(F.sum("count").alias("spoken"))
+    alone, enough = F.col("count") >= min_group, F.col("spoken") >= min_group
+    g = F.when(alone, F.col("fine")).when(enough, F.col("lang")).otherwise("")
+    groups = publish(sizes.join(spoken, "lang").select("fine", "lang", g.alias("g")), "groups")
+    # A text takes part in its own group's estimate, and in every wider one that some small group needs.
+    needed = groups.select("g").distinct()
+    parts = F.array_distinct(F.array("fine", "lang", F.lit("")))
+    deals = groups.select("fine", F.explode(parts).alias("g")).join(needed, "g")
+    dealt = vectors.drop("lang").join(deals, "fine")
+    sized = dealt.groupBy("g").count().where(F.col("count") >= FEWEST).select("g")
+    dealt = publish(dealt.join(sized, "g").select("g", *vector), "dealt")
     discard(vectors)
     found = minimum_covariance(dealt)
     estimates = groups.join(found, "g").select("fine", "center", "inverse")
