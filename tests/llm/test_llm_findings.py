@@ -2,7 +2,7 @@
 
 import pytest
 
-from vaultline.llm import quality
+from vaultline.llm import pii, quality
 
 DOCS = "doc_id int, text string, lang string, source string"
 
@@ -48,3 +48,22 @@ def test_quality_small_groups(spark):
     data += [(60 + i, junk[i % 5], "en", "rare") for i in range(30)] + [(90, junk[0], "xx", "rare"), (91, "\n".join(regular(1)), "xx", "rare")]
     got = quality.judge(spark.createDataFrame(data, DOCS), min_group=50).collect()
     assert {r.doc_id for r in got if not r.kept} == set(range(60, 91)) and all(r.distance is not None for r in got)
+
+
+def discovered(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    return [[(x.kind, r.text[x.start : x.stop]) for x in r.spans if not x.base] for r in sorted(pii.find(df).collect())]
+
+
+def test_pii_layouts(spark):
+    """Identifiers of any layout are found after a reliable context."""
+    numbers = [f"please call me at +1 ({200 + i}) 555-{1000 + i} today" for i in range(12)]
+    cards = [f"the card number {x} expires" for x in ("4111111111111111", "5500005555555559", "340000000000009", "6011000000000004", "30000000000004", "4012888888881881", "5105105105105100")]
+    mails = [f"write me at: jane{i}@example.com today" for i in range(12)]
+    new = {
+        "please call me at (555) 867-5309 today": ("phone", "(555) 867-5309"), "call me at 555 123 4567.": ("phone", "555 123 4567"),
+        "call me at 06 12 34 56 78 today": ("phone", "06 12 34 56 78"), "card number 4111 1111 1111 1112 expires": ("card", "4111 1111 1111 1112"),
+        "me at: jane@localhost now": ("email", "jane@localhost"), "me at: jane.doe(at)example.com": ("email", "jane.doe(at)example.com"),
+    }
+    got = discovered(spark, numbers + cards + mails + [*new, "call me at home", "call me at 5"])
+    assert got[31:-2] == [[x] for x in new.values()] and got[-2:] == [[], []]

@@ -1,17 +1,21 @@
 """Personal data by bootstrapped contextual extraction.
 
 Seeds are what fixed patterns find in every whole text (e-mail addresses, IP
-addresses, card and phone numbers).  Other identifier-like tokens (with a run
-of digits) are candidates.  The two words before a span are its lexical
-pattern.  Spark scores the graph of patterns and instances in rounds: a
-pattern is as reliable, for a kind, as the share of its instances that are
-believed to be of that kind; an instance is believed as far as the patterns
-it stands in are reliable; seeds are certain.  Candidates after patterns that
-end reliable, with enough distinct instances behind them, are new spans.
+addresses, card and phone numbers).  Candidates are all other tokens, and
+runs of number tokens, that have the shape of some kind's seeds; a word of
+letters alone has no kind's shape.  The two words before a span are its
+lexical pattern.  Spark scores the graph of patterns and instances in rounds:
+a pattern is as reliable, for a kind, as the share of the instances believed
+to be of that kind among those and the known negatives (seeds of other kinds,
+and candidates that mostly stand after patterns of no such kind); a candidate
+is believed as far as the patterns it stands in are reliable; seeds are
+certain.  Rounds end when nothing moves any more.  Candidates after patterns
+that end reliable, with enough distinct instances behind them, are new spans.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator, Sequence
 
@@ -23,11 +27,14 @@ from vaultline.llm.common import cols, content_key, discard, fresh, from_row, pu
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
+SETTLED = 1e-3
 SUPPORT = 5  # distinct believed instances behind a pattern
 RELIABLE = 0.8  # of a pattern that discovers
 CONSIDERED = 0.5  # of a pattern that lends belief during the rounds
 CONTEXT_CHARS = 80
-CANDIDATE_CHARS = (5, 64)
+LONG_INSTANCE = 64  # characters; longer instances are compared by a digest
+#: Fewest digits of a candidate for a number kind: half of what its fixed pattern takes.
+LEAST_DIGITS = {"ip": 2, "card": 7, "phone": 5}
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -35,7 +42,11 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_DIGITS = re.compile(r"[0-9]{3}")
+_TOKEN = re.compile(r"\S+")
+_NUMBER = re.compile(r"[^\w]*[0-9](?:[0-9]|[^\w])*")  # digits and marks
+_INNER_MARK = re.compile(r"\w[^\w\s'\u2019]+\w|_")
+_LETTER = re.compile(r"[^\W0-9_]")
+_ENDS = ".,;:!?"
 _MARKS = "\"'`.,;:!?()[]{}<>=#*$%&|"
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
@@ -76,86 +87,147 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
+def shape(instance: str) -> int:
+    """Kinds whose seeds have this shape, as bits in the order of KINDS."""
+    digits = sum(map(instance.count, "0123456789"))
+    fits = sum(1 << i for i, k in enumerate(KINDS) if digits >= LEAST_DIGITS.get(k, len(instance) + 1))
+    email = _INNER_MARK.search(instance) and _LETTER.search(instance)
+    return fits | (1 << KINDS.index("email") if email else 0)
+
+
 def _candidates(text: str, taken: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
-    """Tokens with three digits in a row, without the marks around them, apart from ``taken`` spans."""
-    least, most = CANDIDATE_CHARS
-    at, i = 0, 0
-    while m := _DIGITS.search(text, at):
-        start, end = m.span()
-        while start > at and not text[start - 1].isspace() and end - start <= most:
-            start -= 1
-        while end < len(text) and not text[end].isspace() and end - start <= 2 * most:
-            end += 1
-        at = end
+    """Tokens, and runs of number tokens in a line, without the marks around them, apart from ``taken`` spans."""
+    i, free, run = 0, 0, None  # run: an open run of number tokens
+
+    def bare(start: int, end: int) -> tuple[int, int]:
         token = text[start:end]
-        start += len(token) - len(token.lstrip(_MARKS))
-        end -= len(token) - len(token.rstrip(_MARKS))
-        if not least <= end - start <= most:
-            continue
+        if "(" in token and ")" in token:
+            left, right = _MARKS.replace("(", ""), _MARKS.replace(")", "")
+        else:
+            left = right = _MARKS
+        return start + len(token) - len(token.lstrip(left)), end - len(token) + len(token.rstrip(right))
+
+    for m in _TOKEN.finditer(text):
+        start, end = m.span()
         while i < len(taken) and taken[i][2] <= start:
+            free = max(free, taken[i][2])
             i += 1
-        if not any(a < end and start < b for _, a, b in taken[i : i + 2 * len(KINDS)]):
-            yield start, end
-
-
-def occurrences(text: str | None) -> list[tuple[str | None, int, int, str, str]]:
-    """(kind or None, start, end, pattern, instance) of base spans and candidates."""
+        touched = any(a < end and start < b for _, a, b in taken[i : i + 2 * len(KINDS)])
+        number = not touched and _NUMBER.fullmatch(m[0]) is not None
+        if run and not (number and text[run[1] : start].isspace() and "\n" not in text[run[1] : start] and text[run[1] - 1] not in _ENDS):
+            yield bare(*run)
+            run = None
+        if number:
+            run = (run[0] if run else start, end)
+        elif not touched and not m[0].isalpha():
+            yield bare(start, end)
+    if run:
+        yield bare(*run)
+
+
+def occurrences(text: str | None) -> list[tuple[str | None, int, int, str, str, int]]:
+    """(kind or None, start, end, pattern, instance, shape) of base spans and candidates."""
     text = text or ""
     base = base_spans(text)
-    out: list[tuple[str | None, int, int, str, str]] = []
+    out: list[tuple[str | None, int, int, str, str, int]] = []
     for kind, start, end in [*base, *((None, a, b) for a, b in _candidates(text, base))]:
+        instance = text[start:end].lower()
+        fits = shape(instance) if kind is None else 1 << KINDS.index(kind)
+        if not fits:
+            continue
+        if len(instance) > LONG_INSTANCE:
+            instance = hashlib.blake2b(instance.encode(), digest_size=16).hexdigest()
         words = text[max(0, start - CONTEXT_CHARS) : start].lower().split()[-2:]
-        out.append((kind, start, end, " ".join(words), text[start:end].lower()))
+        out.append((kind, start, end, " ".join(words), instance, fits))
     return out
 
 
 def extract(df: DataFrame, text_col: str, out: str) -> DataFrame:
     """Add ``out``: the occurrences of every whole text."""
     python_side(df.sparkSession)
+    names = ("kind", "start", "stop", "pattern", "instance", "fits")
 
-    @F.pandas_udf("array<struct<kind: string, start: int, stop: int, pattern: string, instance: string>>")
+    @F.pandas_udf("array<struct<kind: string, start: int, stop: int, pattern: string, instance: string, fits: int>>")
     def spans(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in parts:
-            yield pd.Series(
-                [[dict(zip(("kind", "start", "stop", "pattern", "instance"), x)) for x in occurrences(t)] for t in texts], dtype=object
-            )
+            yield pd.Series([[dict(zip(names, x)) for x in occurrences(t)] for t in texts], dtype=object)
 
     return df.withColumn(out, spans(df[text_col].cast("string")))
 
 
-def _patterns(edges: DataFrame, beliefs: DataFrame, totals: DataFrame) -> DataFrame:
-    """(pattern, kind, reliability, support) of patterns that lend belief."""
-    known = edges.join(beliefs, "instance").groupBy("pattern", "kind").agg(
-        F.sum("belief").alias("mass"), F.sum((F.col("belief") >= 0.5).cast("int")).alias("support")
+def _fits(fits: Column, kind: Column) -> Column:
+    out = F.lit(False)
+    for i, k in enumerate(KINDS):
+        out = out | ((kind == k) & (fits.bitwiseAND(1 << i) > 0))
+    return out
+
+
+def _around(edges: DataFrame, beliefs: DataFrame, degrees: DataFrame) -> DataFrame:
+    """(pattern, kind, instance, belief, negative) of every instance of the patterns with enough support for a kind."""
+    supported = (
+        edges.join(beliefs, "instance")
+        .groupBy("pattern", "kind")
+        .agg(F.sum((F.col("belief") >= 0.5).cast("int")).alias("support"))
+        .where(F.col("support") >= SUPPORT)
     )
-    scored = known.join(totals, "pattern").withColumn("reliability", F.col("mass") / (F.col("instances") + 1))
-    return scored.where((F.col("reliability") >= CONSIDERED) & (F.col("support") >= SUPPORT)).select(
-        "pattern", "kind", "reliability", "support"
+    around = edges.join(supported.drop("support"), "pattern").where(_fits(F.col("fits"), F.col("kind")) | (F.col("seeded") > 0))
+    held = around.groupBy("instance", "kind").agg(F.count(F.lit(1)).alias("held"))
+    of_kind = _fits(F.col("seeded"), F.col("kind"))
+    negative = ~of_kind & ((F.col("seeded") > 0) | (2 * F.col("held") < F.col("degree")))
+    return (
+        around.join(held, ["instance", "kind"]).join(degrees, "instance").join(beliefs, ["instance", "kind"], "left")
+        .select("pattern", "kind", "instance", F.coalesce("belief", F.lit(0.0)).alias("belief"), negative.alias("negative"))
     )
 
 
-def reliable_patterns(occurring: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(pattern, kind, reliability) of high-confidence patterns; ``occurring`` has kind, pattern, instance."""
+def _patterns(around: DataFrame) -> DataFrame:
+    """(pattern, kind, reliability)."""
+    return around.groupBy("pattern", "kind").agg((F.sum("belief") / (F.count(F.lit(1)) + 1)).alias("reliability"))
+
+
+def reliable_patterns(occurring: DataFrame, rounds: int | None = ROUNDS) -> DataFrame:
+    """(pattern, kind, reliability) of high-confidence patterns; ``occurring`` has kind, pattern, instance, fits.
+
+    Beliefs only grow from round to round, so the scores settle.
+    """
     occurring = occurring.where(F.col("pattern") != "")
-    edges = publish(occurring.select("pattern", "instance").distinct(), "pii-edges")
-    seeds = publish(
-        occurring.where(F.col("kind").isNotNull()).select("instance", "kind").distinct().withColumn("belief", F.lit(1.0)), "pii-seeds"
+    marked = F.when(F.col("kind").isNotNull(), F.col("fits")).otherwise(0)
+    found = occurring.groupBy("pattern", "instance").agg(F.bit_or("fits").alias("fits"), F.bit_or(marked).alias("own"))
+    found = publish(found, "pii-found")
+    whole = found.groupBy("instance").agg(F.bit_or("own").alias("seeded"), F.count(F.lit(1)).alias("degree"))
+    degrees = publish(whole, "pii-instances")
+    edges = publish(found.drop("own").join(degrees.drop("degree"), "instance"), "pii-edges")
+    discard(found)
+    seeds = degrees.where("seeded > 0").select(
+        "instance",
+        F.explode(F.filter(F.array(*[F.when(F.col("seeded").bitwiseAND(1 << i) > 0, k) for i, k in enumerate(KINDS)]), lambda x: x.isNotNull())).alias("kind"),
+        F.lit(1.0).alias("belief"),
     )
-    totals = publish(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances")), "pii-totals")
-    beliefs = seeds
-    for step in range(rounds):
-        patterns = publish(_patterns(edges, beliefs, totals), "pii-patterns")
-        if step == rounds - 1:
+    seeds = publish(seeds, "pii-seeds")
+    degrees = degrees.drop("seeded")
+    beliefs, before, step = seeds, None, 0
+    while True:
+        around = publish(_around(edges, beliefs, degrees), "pii-around")
+        patterns = publish(_patterns(around), "pii-patterns")
+        step += 1
+        if before is not None:
+            now, was = F.coalesce("reliability", F.lit(0.0)), F.coalesce("was", F.lit(0.0))
+            both = patterns.join(before.withColumnRenamed("reliability", "was"), ["pattern", "kind"], "full")
+            moved = both.agg(F.max(F.abs(now - was))).first()[0]
+            discard(before)
+        else:
+            moved = patterns.agg(F.max("reliability")).first()[0]
+        if not moved or moved < SETTLED or step == rounds:
             break
+        before = patterns
         doubt = F.sum(F.log(1 - F.least(F.col("reliability"), F.lit(0.999))))
-        lent = edges.join(patterns, "pattern").groupBy("instance", "kind").agg((1 - F.exp(doubt)).alias("belief"))
-        after = publish(lent.union(seeds.select("instance", "kind", "belief")).groupBy("instance", "kind").agg(F.max("belief").alias("belief")), "pii-beliefs")
-        discard(patterns, *([beliefs] if beliefs is not seeds else []))
+        lending = patterns.where(F.col("reliability") >= CONSIDERED)
+        lent = around.where(~F.col("negative")).join(lending, ["pattern", "kind"]).groupBy("instance", "kind").agg((1 - F.exp(doubt)).alias("belief"))
+        after = publish(lent.union(seeds).groupBy("instance", "kind").agg(F.max("belief").alias("belief")), "pii-beliefs")
+        discard(around, *([beliefs] if beliefs is not seeds else []))
         beliefs = after
     best = patterns.where(F.col("reliability") >= RELIABLE)
-    return best.groupBy("pattern").agg(
-        F.max_by("kind", F.struct("reliability", "kind")).alias("kind"), F.max("reliability").alias("reliability")
-    )
+    return best.select("pattern", "kind", "reliability")
 
 
 def _order(kind: Column) -> Column:
@@ -166,7 +238,7 @@ def _order(kind: Column) -> Column:
 
 
 def find(
-    df: DataFrame, text_col: str = "text", keep: Sequence[str] | None = None, spans: str = "spans", rounds: int = ROUNDS
+    df: DataFrame, text_col: str = "text", keep: Sequence[str] | None = None, spans: str = "spans", rounds: int | None = ROUNDS
 ) -> DataFrame:
     """Rows of ``df`` (columns ``keep``, default all) with ``spans``.
 
@@ -181,14 +253,17 @@ def find(
     table = df.select(whole_row(kept), df[text_col].alias("text"), a.alias("ka"), b.alias("kb"))
     table = publish(extract(table, "text", "seen").drop("text"), "pii")
     exploded = table.select("ka", "kb", F.inline("seen"))
-    accepted = reliable_patterns(exploded.select("kind", "pattern", "instance"), rounds)
+    accepted = reliable_patterns(exploded.select("kind", "pattern", "instance", "fits"), rounds)
     span = lambda kind, base: F.struct(
         F.col("start").alias("start"), _order(kind).alias("rank"), F.col("stop").alias("stop"), kind.alias("kind"), F.lit(base).alias("base")
     )
     new = (
         exploded.where(F.col("kind").isNull() & (F.col("pattern") != ""))
         .drop("kind")
-        .join(accepted.select("pattern", "kind"), "pattern")
+        .join(accepted, "pattern")
+        .where(_fits(F.col("fits"), F.col("kind")))
+        .groupBy("ka", "kb", "start", "stop")
+        .agg(F.max_by("kind", F.struct("reliability", "kind")).alias("kind"))
         .groupBy("ka", "kb")
         .agg(F.collect_set(span(F.col("kind"), False)).alias("extra"))
     )
@@ -219,7 +294,7 @@ def redact_text(text: str | None, spans: Sequence) -> str | None:
     return "".join(out) + text[at:]
 
 
-def redact(df: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def redact(df: DataFrame, text_col: str = "text", rounds: int | None = ROUNDS) -> DataFrame:
     """Replace personal data in ``text_col``; all rows and columns stay, texts without any are unchanged."""
     (spans,) = fresh(df, "spans")
     found = find(df, text_col, spans=spans, rounds=rounds)
