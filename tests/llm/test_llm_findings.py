@@ -67,3 +67,12 @@ def test_pii_layouts(spark):
     }
     got = discovered(spark, numbers + cards + mails + [*new, "call me at home", "call me at 5"])
     assert got[31:-2] == [[x] for x in new.values()] and got[-2:] == [[], []]
+
+
+def test_pii_many_unseen(spark):
+    """Many unseen identifiers behind a good context do not speak against it; instances of another kind do."""
+    seen = [f"call me at +1 ({200 + i}) 555-{1000 + i} today" for i in range(20)]
+    new = [f"call me at 555-{200 + i}-{1000 + i} today" for i in range(25)]
+    mixed = [f"reach host by +1 ({300 + i}) 555-{1000 + i}" for i in range(6)] + [f"reach host by 10.0.0.{i}" for i in range(6)]
+    got = discovered(spark, seen + new + mixed + ["reach host by 555-999-1234"])
+    assert got[20:45] == [[("phone", f"555-{200 + i}-{1000 + i}")] for i in range(25)] and got[-1] == []

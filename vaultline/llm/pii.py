@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from vaultline.llm.common import cols, content_key, discard, fresh, from_row, publish, python_side, whole_row
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
+ROUNDS = None  # until the scores settle
 SETTLED = 1e-3
 SUPPORT = 5  # distinct believed instances behind a pattern
 RELIABLE = 0.8  # of a pattern that discovers
@@ -182,7 +182,9 @@ def _around(edges: DataFrame, beliefs: DataFrame, degrees: DataFrame) -> DataFra
 
 def _patterns(around: DataFrame) -> DataFrame:
     """(pattern, kind, reliability)."""
-    return around.groupBy("pattern", "kind").agg((F.sum("belief") / (F.count(F.lit(1)) + 1)).alias("reliability"))
+    mass = F.sum(F.when(F.col("negative"), 0.0).otherwise(F.col("belief")))
+    against = F.sum(F.col("negative").cast("int"))
+    return around.groupBy("pattern", "kind").agg((mass / (mass + against + 1)).alias("reliability"))
 
 
 def reliable_patterns(occurring: DataFrame, rounds: int | None = ROUNDS) -> DataFrame:
