@@ -1,8 +1,10 @@
 """Cases that an earlier round of the operators lost."""
 
+import textwrap
+
 import pytest
 
-from vaultline.llm import pii, quality
+from vaultline.llm import licenses, pii, quality
 
 DOCS = "doc_id int, text string, lang string, source string"
 
@@ -76,3 +78,15 @@ def test_pii_many_unseen(spark):
     mixed = [f"reach host by +1 ({300 + i}) 555-{1000 + i}" for i in range(6)] + [f"reach host by 10.0.0.{i}" for i in range(6)]
     got = discovered(spark, seen + new + mixed + ["reach host by 555-999-1234"])
     assert got[20:45] == [[("phone", f"555-{200 + i}-{1000 + i}")] for i in range(25)] and got[-1] == []
+
+
+def wrapped(text, width):
+    return "\n\n".join(textwrap.fill(" ".join(p.split()), width) for p in text.split("\n\n"))
+
+
+def test_licenses_wrapped(spark):
+    """Known texts have one digest at any width, also after a leading notice."""
+    ids = ["MIT", "MIT-0", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause"]
+    data = [(f"{i} {w}", h + wrapped(licenses.KNOWN[i], w)) for i in ids for w in range(40, 101, 6) for h in ("", "Copyright Some Body\nAll rights reserved.\n\n")]
+    got = licenses.scan(spark.createDataFrame(data, "doc_id string, text string")).collect()
+    assert [(r.doc_id, r.license_id) for r in got if r.license_id != r.doc_id.split()[0]] == []

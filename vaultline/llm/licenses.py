@@ -30,8 +30,12 @@ SPELLINGS = (
     (r"\bcopyright holder(s?)\b", "copyright owner$1"),
     (r"\bhttps\b", "http"),
 )
-#: A line is a copyright line if its canonical form (before spellings) starts like this.
+#: A line may be a copyright line if its canonical form (before spellings) starts like this; the SQL takes it as one.
 COPYRIGHT_LINE = r"^(copyright|c copyright|portions copyright|c [12][0-9]{3}|[12][0-9]{3} |all rights reserved)"
+#: It is one wherever it stands if it starts like this ...
+STATEMENT = r"^((portions )?copyright (c\b|[12][0-9]{3}\b)|c copyright|c [12][0-9]{3}|all rights reserved$)"
+#: ... and otherwise in the leading notices: before the first line of many words, after a blank line or another copyright line.
+PROSE = r"^(\S+ ){8}"
 MAX_KNOWN = 10_000  # known texts; they are one literal in the line scan and a broadcast side
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so{condition}
@@ -91,7 +95,18 @@ def _spelled(text: Column) -> Column:
 def canonical_lines(text: Column) -> Column:
     """Canonical forms of the lines, in order, without copyright lines and blank ones; spellings still differ."""
     lines = F.transform(F.split(_plain(F.coalesce(text, F.lit(""))), "\n", -1), lambda x: F.btrim(x, F.lit(" ")))
-    return F.filter(lines, lambda x: (x != "") & ~x.rlike(COPYRIGHT_LINE))
+    prose = lambda x: x.rlike(PROSE) & ~x.rlike(COPYRIGHT_LINE)
+    # Arrays of one element: their lambdas' variables are evaluated once a text.
+    whole = F.transform(
+        F.array(lines), lambda ls: F.struct(ls.alias("ls"), F.array_position(F.transform(ls, prose), F.lit(True)).alias("prose"))
+    )
+
+    def notice(x: Column, i: Column, s: Column) -> Column:
+        before = F.coalesce(F.get(s["ls"], i - 1), F.lit(""))
+        leading = ((s["prose"] == 0) | (i + 1 < s["prose"])) & ((before == "") | before.rlike(COPYRIGHT_LINE))
+        return x.rlike(COPYRIGHT_LINE) & (x.rlike(STATEMENT) | leading)
+
+    return F.transform(whole, lambda s: F.filter(s["ls"], lambda x, i: (x != "") & ~notice(x, i, s)))[0]
 
 
 def canonical(lines: Column, longest: int) -> Column:
