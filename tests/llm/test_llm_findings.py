@@ -90,3 +90,15 @@ def test_licenses_wrapped(spark):
     data = [(f"{i} {w}", h + wrapped(licenses.KNOWN[i], w)) for i in ids for w in range(40, 101, 6) for h in ("", "Copyright Some Body\nAll rights reserved.\n\n")]
     got = licenses.scan(spark.createDataFrame(data, "doc_id string, text string")).collect()
     assert [(r.doc_id, r.license_id) for r in got if r.license_id != r.doc_id.split()[0]] == []
+
+
+def test_licenses_long(spark):
+    """Whole texts of long licences are known, and every text has a digest."""
+    ids, lined = ["Apache-2.0", "MPL-2.0", "CC0-1.0"], ["GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0"]  # copyright lines inside
+    data = [(i, "Copyright 2020 Some Body\n\n" + wrapped(licenses.KNOWN[i], 66).upper()) for i in ids]
+    data += [(i, textwrap.indent(licenses.KNOWN[i].upper(), "   ")) for i in lined]
+    ids += lined
+    data += [("none", "some words " * 50_000)]
+    got = licenses.scan(spark.createDataFrame(data, "doc_id string, text string")).collect()
+    assert {r.doc_id: r.license_id for r in got} == {**dict.fromkeys(ids), **{i: i for i in ids}, "none": None}
+    assert all(r.canonical_sha256 for r in got)

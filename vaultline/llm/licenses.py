@@ -9,6 +9,8 @@ line in the same way, for the one-line notices that stand inside other texts.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +53,7 @@ _BSD = """Redistribution and use in source and binary forms, with or without mod
 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
 
 {third}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
-#: Known texts (fixed values): full texts of short licences, and one-line notices.
+#: Known texts (fixed values): full texts of short licences, one-line notices, and the licences in the folder ``known``.
 KNOWN = {
     "MIT": "MIT License\n\n" + _MIT.format(condition=", subject to the following conditions:", mit_notice="The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n\n"),
     "MIT (untitled)": _MIT.format(condition=", subject to the following conditions:", mit_notice="The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n\n"),
@@ -73,6 +75,7 @@ KNOWN = {
     "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0.",
     "CC-BY-ND-4.0 notice": "Licensed under CC BY-ND 4.0.",
     "CC0-1.0 notice": "Licensed under CC0 1.0.",
+    **{x.stem: x.read_text() for x in sorted(Path(__file__).with_name("known").glob("*.txt"))},
 }
 
 
@@ -109,16 +112,6 @@ def canonical_lines(text: Column) -> Column:
     return F.transform(whole, lambda s: F.filter(s["ls"], lambda x, i: (x != "") & ~notice(x, i, s)))[0]
 
 
-def canonical(lines: Column, longest: int) -> Column:
-    """Canonical text of canonical lines; NULL if it is too long for any known text.
-
-    A spelling shortens a word by a third at most, so a text of over twice
-    the longest known canonical text cannot match.
-    """
-    whole = F.array_join(lines, " ")
-    return F.when(F.length(whole) <= 2 * longest, _spelled(whole))
-
-
 def digests_of_known(known: DataFrame) -> list[tuple[str, str, int]]:
     """(license_id, digest, length) of the known texts; ids with one digest: the least id."""
     text = _spelled(F.array_join(canonical_lines(F.col("text")), " "))
@@ -132,9 +125,8 @@ def digests_of_known(known: DataFrame) -> list[tuple[str, str, int]]:
 def scan(df: DataFrame, text_col: str = "text", known: DataFrame | None = None) -> DataFrame:
     """Add ``canonical_sha256``, ``license_id`` (entire text) and ``notices`` (ids of whole lines, sorted, each once).
 
-    ``canonical_sha256`` is NULL for texts that are too long to be any known
-    text and for texts without letters or digits (NULL, empty, copyright
-    lines only); ``license_id`` is NULL where no known text has the digest;
+    ``canonical_sha256`` is NULL for texts without letters or digits (NULL,
+    empty, copyright lines only); ``license_id`` is NULL where no known text has the digest;
     ``notices`` is an empty array where no line is a known notice.  Rows and
     other columns pass; columns with the three names are replaced.
     """
@@ -144,12 +136,13 @@ def scan(df: DataFrame, text_col: str = "text", known: DataFrame | None = None)
     kept = [c for c in df.columns if c not in ("canonical_sha256", "license_id", "notices")]
     lines, whole, digest, name = fresh(df, "lines", "whole", "digest", "name")
     table = df.select(*cols(kept), canonical_lines(df[text_col].cast("string")).alias(lines))
-    table = table.withColumn(whole, canonical(F.col(lines), longest))
+    table = table.withColumn(whole, _spelled(F.array_join(F.col(lines), " ")))
     table = table.withColumn("canonical_sha256", F.when(F.col(whole) != "", F.sha2(whole, 256)))
     names = spark.createDataFrame([(d, i) for i, d, _ in found], f"`{digest}` string, `{name}` string")
     table = table.join(F.broadcast(names), F.col("canonical_sha256") == F.col(digest), "left")  # at most MAX_KNOWN rows
     if not found:
         return table.select(*cols(kept), "canonical_sha256", F.col(name).alias("license_id"), F.array().cast("array<string>").alias("notices"))
+    # A spelling shortens a word by a third at most, so a longer line cannot match.
     short = F.filter(F.col(lines), lambda x: F.length(x) <= 2 * longest)
     line_digests = F.transform(short, lambda x: F.sha2(_spelled(x), 256))
     hits = F.array_intersect(line_digests, F.array(*[F.lit(d) for _, d, _ in found]))
