@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import bpe, fingerprints, licenses, line_dedup, packing, pii, quality, sharding, simhash, token_counts
+from vaultline.llm import bpe, fingerprints, licenses, line_dedup, packing, pii, quality, queries_text, sharding, simhash, token_counts
 from vaultline.llm.common import documents, settings
 
 
@@ -133,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_pii": op9_pii,
     "op10_licenses": op10_licenses,
+    **queries_text.QUERIES,
 }
 
-ORACLE: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op10_licenses": licenses.oracle_sql()}
+ORACLE: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op10_licenses": licenses.oracle_sql(), **queries_text.ORACLE}
