@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable, Sequence
-from functools import wraps
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,46 +87,53 @@ def scratch(spark: SparkSession, name: str) -> str:
     path = f"{checkpoint_dir(spark).rstrip('/')}/vaultline-llm/{name}-{uuid.uuid4().hex}"
     handle = spark._jvm.org.apache.hadoop.fs.Path(path)
     handle.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(handle)
-    if _tracking:
-        _working.append(path)
+    for owner in _owners:
+        owner.append(path)
     return path
 
 
-_working: list[str] = []
-_tracking = False
+_owners: list[list[str]] = []
 
 
-def pipeline_stage(stage: Callable) -> Callable:
-    """Mark a stage: its working tables live until the next stage begins on its written and reread result.
+@contextmanager
+def working_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that are published inside the block when it ends.
 
-    Tables that the next stage's documents still read (a result that was not
-    written) are left alone.
+    For a caller that writes what it builds from them before the block ends;
+    elsewhere they last until the application ends.
     """
+    own: list[str] = []
+    _owners.append(own)
+    try:
+        yield
+    finally:
+        _owners.remove(own)
+        for path in own:
+            handle = spark._jvm.org.apache.hadoop.fs.Path(path)
+            handle.getFileSystem(spark._jsc.hadoopConfiguration()).delete(handle, True)
+
+
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-    @wraps(stage)
-    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        global _tracking
-        settings(spark)
-        if _working:
-            read = docs.inputFiles()
-            for path in [p for p in _working if not any(p.rsplit("/", 1)[1] in file for file in read)]:
-                handle = spark._jvm.org.apache.hadoop.fs.Path(path)
-                handle.getFileSystem(spark._jsc.hadoopConfiguration()).delete(handle, True)
-                _working.remove(path)
-        _tracking = True
-        try:
-            return stage(spark, docs, sf_dir)
-        finally:
-            _tracking = False
-
-    return run
-
-
-def publish(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write ``df`` to the shared folder and read it back."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+def publish(df: DataFrame, name: str = "table", path: str | None = None) -> DataFrame:
+    """Cut the lineage: write ``df`` to the shared folder and read it back.
+
+    The write's own shuffle files go as soon as it has ended: nothing reads
+    them again, as the table is read instead.
+    """
+    spark = df.sparkSession
+    path = path or scratch(spark, name)
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEAN_UP)
+        else:
+            spark.conf.set(_CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(*tables: DataFrame) -> None:

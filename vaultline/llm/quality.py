@@ -175,9 +175,11 @@ def minimum_covariance(vectors: DataFrame, share: float = SHARE, steps: int = ST
     now = publish(start, "mcd")
     for _ in range(steps):
         scored = vectors.join(now, "g").withColumn("d2", _distance())
-        bound = scored.groupBy("g").agg(F.percentile_approx("d2", share, 1000).alias("bound"))
+        # Published: a table of one row per group, which Spark broadcasts by its measured size instead of dealing all rows by g.
+        bound = publish(scored.groupBy("g").agg(F.percentile_approx("d2", share, 1000).alias("bound")), "bound")
         inside = scored.join(bound, "g").where("d2 <= bound")
         after = publish(_estimates(_sums(inside), factor), "mcd")
+        discard(bound)
         moved = after.join(now.select("g", F.col("logdet").alias("was")), "g").agg(F.max(F.abs(F.col("logdet") - F.col("was")))).first()[0]
         discard(now)
         now = after
@@ -219,7 +221,7 @@ def judge(
         a.alias("ka"),
         b.alias("kb"),
     )
-    table = publish(measured(table, "text", "stats").drop("text"), "measured")
+    table = measured(table, "text", "stats").drop("text")  # measured twice: cheaper than a copy of all rows
     s = F.col("stats")
     failed = (s.n_words < MIN_WORDS) | (100 * s.n_repeat_words > MAX_REPEAT_PERCENT * s.n_words)
     vectors = (

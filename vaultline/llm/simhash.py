@@ -187,8 +187,8 @@ def near_duplicates(
     """
     kept = [c for c in (df.columns if keep is None else keep) if c not in (fingerprint, cluster, component)]
     source = df.select(whole_row(kept), df[id_col].alias("id"), df[text_col].alias("text"))
-    marked = publish(fingerprints(source, "text", "fp", words).drop("text"), "simhash")
-    found = clusters(marked, "id", "fp", radius)
+    marked = fingerprints(source, "text", "fp", words).drop("text")
+    found = clusters(publish(marked.select("id", "fp"), "simhash"), "id", "fp", radius)
     return marked.join(found, "fp").select(
         *from_row(kept),
         F.col("fp").alias(fingerprint),

@@ -2,8 +2,8 @@
 
 The vocabulary's pre-tokenizer never joins characters across a single space
 that stands between two other non-space characters, so a text may be cut
-before each such space and the ids of the cuts follow one another.  A bounded
-memo maps cuts to their ids; only new cuts reach the encoder.
+before each such space and the ids of the cuts follow one another.  A memo of
+bounded size maps cuts to their ids; only new cuts reach the encoder.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain
 
-MEMO_ENTRIES = 1 << 20  # per generation; two generations live in each Python worker
+MEMO_BYTES = 24 << 20  # per generation, estimated; two generations live in each Python worker
+ENTRY_BYTES = 190  # of an entry besides its cut and ids: two objects and their place in the table
 MEMO_CHARS = 64  # longer cuts are encoded each time
 _DOUBLE = re.compile(r"\s\s")
 _STOPS = frozenset(".,;:!?")
@@ -40,32 +41,39 @@ def byte_letters() -> dict[str, int]:
 
 
 class Memo(dict):
-    """Cut -> little-endian uint32 ids.  Two generations bound the memory; misses are encoded."""
+    """Cut -> little-endian uint32 ids; misses are encoded, and kept while the memo's bytes last."""
 
-    def __init__(self, encode: Callable[[str], bytes], entries: int) -> None:
+    def __init__(self, encode: Callable[[str], bytes], limit: int, old: dict | None = None) -> None:
         super().__init__()
-        self.encode, self.entries, self.old = encode, entries, {}
+        self.encode, self.limit, self.old, self.held = encode, limit, old or {}, 0
 
     def __missing__(self, cut: str) -> bytes:
         ids = self.old.get(cut)
         if ids is None:
             ids = self.encode(cut)
-        if len(cut) <= MEMO_CHARS:
-            if len(self) >= self.entries:
-                self.old = dict(self)
-                self.clear()
+        if len(cut) <= MEMO_CHARS and self.held < self.limit:
+            self.held += ENTRY_BYTES + len(cut) + len(ids)
             self[cut] = ids
         return ids
 
+    def renewed(self) -> Memo:
+        """Itself, or once it is full an empty memo that still looks into this one: two generations live."""
+        if self.held < self.limit:
+            return self
+        young = Memo(self.encode, self.limit, self)
+        self.old = {}
+        return young
+
 
 class TextEncoder:
     """Ids of a text as uint32 bytes in native order (little-endian on x86 and ARM).
 
     ``encode_word`` maps one pre-split word to ids.  ``special_id`` is the id
     of the special token's string inside a text (None: ordinary text).
+    ``memo_bytes`` bounds one generation of the memo.
     """
 
-    def __init__(self, encode_word: Callable[[str], list[int]], split: Callable[[str], list[str]], special_id: int | None, entries: int = MEMO_ENTRIES) -> None:
+    def __init__(self, encode_word: Callable[[str], list[int]], split: Callable[[str], list[str]], special_id: int | None, memo_bytes: int = MEMO_BYTES) -> None:
         def first(cut: str) -> bytes:
             return array("I", chain.from_iterable(map(encode_word, split(cut)))).tobytes()
 
@@ -76,7 +84,7 @@ class TextEncoder:
                 return self.rest[cut[:-1]] + self.first[cut[-1]]
             return first(" " + cut)
 
-        self.first, self.rest = Memo(first, entries >> 4), Memo(rest, entries)
+        self.first, self.rest = Memo(first, memo_bytes >> 4), Memo(rest, memo_bytes)
         self.special = None if special_id is None else array("I", [special_id]).tobytes()
 
     def section(self, text: str) -> bytes:
@@ -86,13 +94,14 @@ class TextEncoder:
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
+        self.first, self.rest = self.first.renewed(), self.rest.renewed()
         if self.special is None or SPECIAL not in text:
             return self.section(text)
         return self.special.join(self.section(x) if x else b"" for x in text.split(SPECIAL))
 
 
 @lru_cache(maxsize=4)
-def library_encoder(path: str, special_as_text: bool = False, entries: int = MEMO_ENTRIES) -> TextEncoder:
+def library_encoder(path: str, special_as_text: bool = False, memo_bytes: int = MEMO_BYTES) -> TextEncoder:
     """Encoder whose ids come from the ``tokenizers`` library (one per worker process and file)."""
     import json
 
@@ -108,4 +117,4 @@ def library_encoder(path: str, special_as_text: bool = False, entries: int = MEM
     def encode_word(word: str) -> list[int]:
         return [x.id for x in tokenize(word.encode().decode("latin-1").translate(letters))]
 
-    return TextEncoder(encode_word, regex.compile(PATTERN).findall, None if special_as_text else specials.get(SPECIAL), entries)
+    return TextEncoder(encode_word, regex.compile(PATTERN).findall, None if special_as_text else specials.get(SPECIAL), memo_bytes)
