@@ -12,26 +12,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vaultline.llm import line_dedup, packing, pii, quality, simhash
-from vaultline.llm.common import cols, discard, documents, fresh, pipeline_stage, publish
+from vaultline.llm.common import cols, discard, documents, fresh, publish, scratch, settings, working_tables
 
 
-@pipeline_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality rules reject."""
+    settings(spark)
     names = dict(zip(quality.RESULTS, fresh(docs, *quality.RESULTS)))
     return quality.judge(docs, names=names).where(F.col(names["kept"])).select(*cols(docs.columns))
 
 
-@pipeline_stage
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop lines that stand in many documents; the documents stay, with their new length in code points."""
+    settings(spark)
     cleaned = line_dedup.drop_repeated_lines(docs)
     return _with_length(cleaned, docs.columns)
 
 
-@pipeline_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates: the least id, and of rows that share it the least text."""
+    settings(spark)
     fp, group, least, n = fresh(docs, "fp", "group", "least", "n")
     marked = simhash.near_duplicates(docs, fingerprint=fp, cluster=group, component=least)
     # The rows of a group that carry its least id are few, whatever the size of the group.
@@ -40,15 +40,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keepers.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).select(*cols(docs.columns))
 
 
-@pipeline_stage
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data by its kind; the documents stay, with their new length in code points."""
+    settings(spark)
     return _with_length(pii.redact(docs), docs.columns)
 
 
-@pipeline_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of 1024 tokens: one row per piece, with its ids."""
+    settings(spark)
     return packing.pack(docs)
 
 
@@ -72,8 +72,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole ``documents`` table."""
     docs = documents(spark, sf_dir)
-    for i, (name, stage) in enumerate(STAGES):
-        before, docs = docs, publish(stage(spark, docs, sf_dir), f"stage-{i}")
+    for i, (_, stage) in enumerate(STAGES):
+        path = scratch(spark, f"stage-{i}")
+        with working_tables(spark):
+            before, docs = docs, publish(stage(spark, docs, sf_dir), path=path)
         if i:
             discard(before)
     return docs
