@@ -32,10 +32,10 @@ START, END = "__START_AT", "__END_AT"
 
 
 def _row_hash(cols: list[str]) -> Column:
-    """NULL-safe content hash of columns (xxhash64 over a struct)."""
+    """Content hash of columns; a NULL counts, so a value that moves to the next column is a change."""
     if not cols:
         return F.lit(0).cast("bigint")
-    return F.xxhash64(F.struct(*[F.col(c) for c in cols]))
+    return F.xxhash64(*[x for c in cols for x in (F.col(c), F.col(c).isNull())])
 
 
 def version_calendar(snapshots: DataFrame, version: str = "version") -> DataFrame:

@@ -305,6 +305,7 @@ register("dq_failed_rule_names", _s)(_b)
 
 # further families register themselves on import
 from vaultline.plans import q_cdc  # noqa: E402,F401
+from vaultline.plans import q_history  # noqa: E402,F401
 from vaultline.plans import q_contract  # noqa: E402,F401
 from vaultline.plans import q_identity  # noqa: E402,F401
 from vaultline.plans import q_mask  # noqa: E402,F401

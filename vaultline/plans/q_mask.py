@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from vaultline.config import TABLES
 from vaultline.functions import masking as M
 from vaultline.operators import quarantine as QU
 from vaultline.plans import oracle as O
@@ -125,17 +126,18 @@ register("mask_sql_function", _pii_sql())(_sql_function)
 
 
 def _redacted(spark, sf):
-    parts = [QU.redacted_evidence(P.quarantine(spark, sf, t)).drop("quarantine_key")
-             for t in ("core_banking_customer", "crm_customer")]
+    P.assess_all(spark, sf, TABLES)
+    parts = [QU.redacted_evidence(P.quarantine(spark, sf, t)).drop("quarantine_key") for t in TABLES]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def _redacted_sql() -> str:
     q = O.Q()
     sels = []
-    for t, k in (("core_banking_customer", "cust_no"), ("crm_customer", "party_id")):
+    for t, spec in TABLES.items():
         f = q.failures(t)
-        sels.append(f"SELECT '{t}' AS source_table_name, sha256(coalesce(CAST({k} AS VARCHAR), '<NULL>')) "
+        key = "concat_ws(':', " + ", ".join(f"coalesce(CAST({k} AS VARCHAR), '<NULL>')" for k in spec.keys) + ")"
+        sels.append(f"SELECT '{t}' AS source_table_name, '{P.RUN_ID}' AS pipeline_run_id, sha256({key}) "
                     f"AS source_business_key_hash, failed_rule_name, 'VALIDATION_RULE_FAILURE' AS quarantine_reason "
                     f"FROM {f}")
     return q.sql(" UNION ALL ".join(sels))

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from vaultline.config import TABLES
 from vaultline.operators import monitor as M
 from vaultline.plans import oracle as O
 from vaultline.plans import pipeline as P
@@ -89,10 +90,11 @@ FROM f GROUP BY 1, 2, 3, 4""")
 
 register("mon_table_metrics", _tables_sql())(lambda spark, sf: M.table_metrics(_events(spark, sf)))
 
-QTABLES = ("core_banking_customer", "crm_customer", "account_transaction", "card")
+QTABLES = tuple(TABLES)
 
 
 def _rules(spark, sf):
+    P.assess_all(spark, sf, QTABLES)
     quarantine = reduce(lambda a, b: a.unionByName(b), [P.quarantine(spark, sf, t) for t in QTABLES])
     return M.rule_metrics(_events(spark, sf), quarantine)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from vaultline.operators import reconcile as R
 from vaultline.operators import scd
-from vaultline.operators.rules import rules_for
+from vaultline.operators.rules import expect_or_drop, rules_for
 from vaultline.plans import oracle as O
 from vaultline.plans import pipeline as P
 from vaultline.plans.registry import register
@@ -142,19 +142,17 @@ register("dq_change_manifest", _manifest_sql())(_manifest)
 
 # ------------------------------------------------ expectations (DQ-10)
 def _expect_or_drop(spark, sf):
-    """Gold expectation: rows without a key are dropped; passed and dropped
-    rows are counted in the same aggregation and returned."""
-    fe = P.silver(spark, sf, "financial_event")
-    has_key = F.col("financial_event_key").isNotNull()
-    return fe.groupBy("event_type").agg(F.count_if(has_key).alias("kept_rows"), F.count_if(~has_key).alias("dropped_rows"))
+    """Expectation on the risk scores: a score without an event, or outside 0 to 1, is dropped; the rows that stay are the result."""
+    scores = P.bronze(spark, sf, "account_transaction_risk_score").select("score_id", "account_txn_id", "model_score")
+    good = {"has_event": F.col("account_txn_id") > 0, "score_in_range": F.col("model_score").between(0, 1)}
+    return expect_or_drop(scores, good)
 
 
 def _expect_sql() -> str:
     q = O.Q()
-    fe = q.silver("financial_event")
-    return q.sql(f"SELECT event_type, count(financial_event_key) AS kept_rows, "
-                 f"count(*) - count(financial_event_key) AS dropped_rows FROM {fe} "
-                 f"GROUP BY event_type")
+    q.normalized("account_transaction_risk_score")
+    return q.sql("SELECT score_id, account_txn_id, model_score FROM r_account_transaction_risk_score "
+                 "WHERE account_txn_id > 0 AND model_score >= 0 AND model_score <= 1")
 
 
 register("dq_expect_or_drop", _expect_sql())(_expect_or_drop)

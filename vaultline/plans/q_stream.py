@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from vaultline.config import UNTRACKED_COLUMNS
+from vaultline.config import TABLES, UNTRACKED_COLUMNS
 from vaultline.plans import oracle as O
 from vaultline.plans import pipeline as P
 from vaultline.plans.registry import register
@@ -158,3 +158,53 @@ WHERE CAST(epoch(source_arrival_timestamp) - epoch(status_timestamp) AS BIGINT)
 
 
 register("stream_late_arrival", _stream_late_sql())(_stream_late)
+
+
+# ------------------------------------------- all sources, one quarantine
+def _quarantine_all(spark, sf):
+    """Every source's rows in several files, a few a micro-batch; duplicates are looked up in the whole source."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    work = _workdir(spark, "quarantine-all")
+    fx.load(spark, sf, *ALL_SOURCES)
+    rows = {t: P.bronze(spark, sf, t) for t in ALL_SOURCES}
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda t: _land(rows[t], f"{work}/in/{t}", files=3), ALL_SOURCES))
+    sources = [S.SourceStream(t, S.read_stream(spark, f"{work}/in/{t}", rows[t].schema, max_files=2),
+                              lambda t=t: spark.read.schema(rows[t].schema).parquet(f"{work}/in/{t}")) for t in ALL_SOURCES]
+    S.quarantine_streams(sources, f"{work}/out", f"{work}/ckpt", as_of=P.RUN_CLOCK, run_id=P.RUN_ID)
+    return S.quarantine_result(spark, f"{work}/out").select(
+        "source_table_name", "source_business_key", "bronze_record_ref", "failed_rule_name", "quarantine_reason", "pipeline_run_id")
+
+
+def _register_all():
+    from vaultline.plans.catalog import _dq_quarantine_records_sql
+
+    register("stream_quarantine_all", _dq_quarantine_records_sql())(_quarantine_all)
+
+
+ALL_SOURCES = tuple(TABLES)
+_register_all()
+
+
+# --------------------------------------------- sequenced change events
+def _sequenced(spark, sf):
+    """Status events delivered in five files in no order of their sequence, one a micro-batch."""
+    work = _workdir(spark, "sequenced")
+    ev = fx.source(spark, sf, "account_transaction_status_event").select(
+        "account_txn_id", "sequence_number", "status", "status_timestamp")
+    for part in range(5):
+        at = F.pmod(F.xxhash64("account_txn_id", "sequence_number"), F.lit(5)) == part
+        ev.where(at).coalesce(1).write.mode("append").parquet(f"{work}/in")
+    state = S.SequencedHistory(spark, f"{work}/state", ev.schema, ["account_txn_id"], "sequence_number", buckets=16)
+    S.sequenced_stream(S.read_stream(spark, f"{work}/in", ev.schema, max_files=1), state, f"{work}/ckpt")
+    return state.history()
+
+
+def _register_sequenced():
+    from vaultline.plans.q_cdc import _sequenced_sql
+
+    register("stream_sequenced_scd2", _sequenced_sql())(_sequenced)
+
+
+_register_sequenced()

@@ -5,6 +5,12 @@
                       ``foreachBatch``; each batch writes to its own
                       ``batch_id=`` folder with overwrite, so a replayed
                       batch (after a failure) rewrites instead of duplicating.
+* ``quarantine_streams``  the change streams of many sources -> one shared
+                      quarantine folder, idempotent by (source, batch); a
+                      lookup of current versions is read anew per micro-batch.
+* ``sequenced_stream``    sequenced change events in any order -> SCD2 history,
+                      kept in key buckets: a batch re-derives the versions of
+                      the buckets it touches, and rewrites only those.
 * ``dedup_stream``    replay removal with ``dropDuplicatesWithinWatermark``.
 * ``window_counts``   event-time tumbling-window counts with a watermark
                       (update mode: closed windows leave the state) upserted
@@ -19,12 +25,17 @@ machine-local temp folder.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from vaultline.operators import quarantine as Q
 from vaultline.operators import scd
+from vaultline.sources.committed import BucketTable
 
 
 def _list_dirs(spark: SparkSession, path: str) -> list[str]:
@@ -61,6 +72,84 @@ def assess_stream(spark: SparkSession, source: DataFrame, table: str, current_pa
     q.awaitTermination()
 
 
+@dataclass(frozen=True)
+class SourceStream:
+    """A source's change rows, and what its cross-row rules look at.
+
+    ``current`` and ``active`` are called once per micro-batch, so each batch
+    sees one state of the table; ``active`` (key, ``__START_AT``) keeps
+    superseded versions from being quarantined again.
+    """
+
+    table: str
+    changes: DataFrame
+    current: Callable[[], DataFrame]
+    active: Callable[[], DataFrame] | None = None
+
+
+def quarantine_streams(sources: Sequence[SourceStream], sink: str, checkpoint: str, as_of: str | None = None,
+                       run_id: str = "stream", at_once: int = 6) -> None:
+    """Run the assessment streams of all sources to completion, into one quarantine folder.
+
+    Each micro-batch overwrites its own ``source_table_name=/batch_id=``
+    folder, so a batch that is run again after a failure adds nothing.
+    ``quarantine_result`` reads the folder.
+    """
+    def run(one: SourceStream) -> None:
+        def per_batch(batch: DataFrame, batch_id: int) -> None:
+            assessed = Q.assess(batch, one.table, current=one.current(), as_of=as_of)
+            records = Q.quarantine_records(assessed, one.table, run_id, with_timestamp=False,
+                                           active_versions=one.active() if one.active else None)
+            (records.drop("source_table_name").write.mode("overwrite")
+             .parquet(f"{sink}/source_table_name={one.table}/batch_id={batch_id}"))
+
+        (one.changes.writeStream.foreachBatch(per_batch).option("checkpointLocation", f"{checkpoint}/{one.table}")
+         .trigger(availableNow=True).start().awaitTermination())
+
+    with ThreadPoolExecutor(max(1, min(at_once, len(sources)))) as pool:
+        list(pool.map(run, sources))
+
+
+def quarantine_result(spark: SparkSession, sink: str) -> DataFrame:
+    return spark.read.option("basePath", sink).parquet(f"{sink}/source_table_name=*/batch_id=*").drop("batch_id")
+
+
+class SequencedHistory:
+    """Events by key and the SCD2 history derived from them, both in key buckets under ``root``."""
+
+    def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: Sequence[str], sequence_by: str,
+                 operation: str | None = None, delete_value: str = "DELETE", buckets: int = 64) -> None:
+        self.keys, self.sequence_by, self.operation, self.delete_value = list(keys), sequence_by, operation, delete_value
+        self.schema = schema
+        columns = [f for f in schema.fields if f.name not in (sequence_by, operation)]
+        stamp = schema[sequence_by].dataType
+        self.history_schema = StructType(columns + [StructField(scd.START, stamp), StructField(scd.END, stamp)])
+        self.events = BucketTable(spark, f"{root}/events", keys, buckets)
+        self.versions = BucketTable(spark, f"{root}/versions", keys, buckets)
+
+    def apply(self, batch: DataFrame, number: int) -> None:
+        """Add a batch of events; a batch number that is applied again gives the same state."""
+        touched = [r[0] for r in batch.select(self.events.bucket().alias("b")).distinct().collect()]  # at most all buckets
+        # State as the batch before left it, also when this batch is run again.
+        known = self.events.read(self.schema, touched, version=number - 1)
+        data = [f.name for f in self.schema.fields if f.name not in (*self.keys, self.sequence_by)]
+        one = (known.unionByName(batch.select(*known.columns)).groupBy(*self.keys, self.sequence_by)
+               .agg(F.max(F.struct(*data)).alias("r")).select(*self.keys, self.sequence_by, "r.*"))
+        self.events.commit(one.select(*self.schema.names), touched, number)
+        now = self.events.read(self.schema, touched)
+        derived = scd.scd2_from_changes(now, self.keys, self.sequence_by, self.operation, self.delete_value)
+        self.versions.commit(derived.select(*self.history_schema.names), touched, number)
+
+    def history(self) -> DataFrame:
+        return self.versions.read(self.history_schema)
+
+
+def sequenced_stream(source: DataFrame, state: SequencedHistory, checkpoint: str) -> None:
+    """Run a stream of change events into ``state`` to completion; late and shuffled events split the versions they fall into."""
+    (source.writeStream.foreachBatch(lambda batch, number: state.apply(batch, number + 1)).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+
+
 def dedup_stream(source: DataFrame, keys: list[str], event_time: str, delay: str, sink: str,
                  checkpoint: str) -> None:
     """Drop replays (same business keys) that arrive within ``delay`` of
