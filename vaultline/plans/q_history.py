@@ -16,12 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.config import DOMAINS, TABLES, UNTRACKED_COLUMNS
+from vaultline.operators import quarantine as QU
 from vaultline.operators.history import SnapshotHistory
 from vaultline.operators.scd import END, START
 from vaultline.plans import oracle as O
+from vaultline.plans import pipeline as P
 from vaultline.plans.registry import register
 from vaultline.session import checkpoint_dir
 from vaultline.sources import fixtures as fx
+from vaultline.streaming import stream as S
 
 VERSIONS = (20260705, 20260706, 20260707)
 AT_ONCE = 6  # sources whose jobs are submitted side by side
@@ -53,7 +56,17 @@ def snapshot(df: DataFrame, keys, step: int) -> DataFrame:
 
 
 def history(spark: SparkSession, sf: str, table: str) -> SnapshotHistory:
-    """All snapshots of a source applied in order."""
+    """All snapshots of a source applied in order (once per run)."""
+    return fx.memo(spark, sf, ("history", table), lambda: _history(spark, sf, table))
+
+
+def histories(spark: SparkSession, sf: str, tables) -> list[SnapshotHistory]:
+    fx.load(spark, sf, *tables)
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return list(pool.map(lambda t: history(spark, sf, t), tables))
+
+
+def _history(spark: SparkSession, sf: str, table: str) -> SnapshotHistory:
     df = fx.source(spark, sf, table)
     keys = source_keys(table, df.columns)
     state = SnapshotHistory(spark, state_root(spark, table), snapshot(df, keys, 1).schema, keys, TABLES[table].scd, UNTRACKED_COLUMNS, buckets=16)
@@ -76,10 +89,7 @@ def _domain(domain: str):
     tables = [t for t, s in TABLES.items() if s.domain == domain]
 
     def build(spark: SparkSession, sf: str) -> DataFrame:
-        fx.load(spark, sf, *tables)
-        with ThreadPoolExecutor(AT_ONCE) as pool:
-            states = list(pool.map(lambda t: history(spark, sf, t), tables))
-        return reduce(DataFrame.unionByName, [_result(s, t) for s, t in zip(states, tables)])
+        return reduce(DataFrame.unionByName, [_result(s, t) for s, t in zip(histories(spark, sf, tables), tables)])
 
     return build
 
@@ -185,3 +195,45 @@ def _rebuilt_sql() -> str:
 
 
 register("bronze_rebuilt_from_log", _rebuilt_sql())(_rebuilt)
+
+
+# ------------------------------------ only current versions are quarantined
+VERSIONED = tuple(t for t, s in TABLES.items() if s.domain == "customer" and s.scd == 2)
+_FOUND = ("source_table_name", "source_business_key", "failed_rule_name")
+
+
+def _quarantine_current(spark, sf):
+    """Assess every after-image of the logs; records of each key's current version only."""
+    parts = []
+    for state, t in zip(histories(spark, sf, VERSIONED), VERSIONED):
+        assessed = QU.assess(state.changes(), t, current=state.current(), as_of=P.RUN_CLOCK)
+        parts.append(QU.quarantine_records(assessed, t, P.RUN_ID, state.active_versions(), with_timestamp=False).select(*_FOUND))
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
+def _stream_quarantine_current(spark, sf):
+    """The same, reading the logs as streams; the current versions are looked up once per micro-batch."""
+    work = state_root(spark, "quarantine-current")
+    sources = [S.SourceStream(t, state.stream(max_files=8), state.current, state.active_versions)
+               for state, t in zip(histories(spark, sf, VERSIONED), VERSIONED)]
+    S.quarantine_streams(sources, f"{work}/out", f"{work}/ckpt", as_of=P.RUN_CLOCK, run_id=P.RUN_ID)
+    return S.quarantine_result(spark, f"{work}/out").select(*_FOUND).distinct()
+
+
+def _current_sql() -> str:
+    """The rules over the rows that the last snapshot holds, one per key."""
+    q, parts = O.Q(), []
+    for t in VERSIONED:
+        q.fixture(t)
+        cols = O.fixture_columns(t)
+        key = "concat_ws(':', " + ", ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in source_keys(t, cols)) + ")"
+        order = ", ".join(f"{c} DESC NULLS LAST" for c in cols if c not in TABLES[t].keys)
+        q.add(f"r_{t}", f"""SELECT * EXCLUDE (pick) FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS pick
+  FROM {t} WHERE substr(md5({key}), 1, 1) <> '2') WHERE pick = 1""")
+        sbk = "concat_ws(':', " + ", ".join(f"coalesce(CAST({k} AS VARCHAR), '<NULL>')" for k in TABLES[t].keys) + ")"
+        parts.append(f"SELECT DISTINCT '{t}' AS source_table_name, {sbk} AS source_business_key, failed_rule_name FROM {q.failures(t)}")
+    return q.sql("\nUNION ALL\n".join(parts))
+
+
+register("dq_quarantine_current_versions", _current_sql())(_quarantine_current)
+register("stream_quarantine_current_versions", _current_sql())(_stream_quarantine_current)
