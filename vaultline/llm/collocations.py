@@ -35,7 +35,7 @@ TOP = 2000
 COVERED_PERCENT = 80
 UNKNOWN = "und"
 _SLICE = 1 << 20  # bytes of text looked at together; a longer piece without punctuation is taken whole
-_HELD = 1 << 20  # keys held before they are summed and sent on
+_HELD = 1 << 21  # keys held before they are summed and sent on
 _TABLE = bytes(
     10 if b in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256)
 )
@@ -148,48 +148,74 @@ def _mine(source: DataFrame, level: Callable[[Words], list[np.ndarray]]) -> Data
     return mined.groupBy("shard", "lang", "key").agg(F.sum("n").alias("n"))
 
 
+class _Tally:
+    """Counts of phrases of one language and length, by 128-bit key; a phrase's text is built when it is first seen."""
+
+    def __init__(self) -> None:
+        self.first, self.second = np.zeros(0, np.uint64), np.zeros(0, np.uint64)  # sorted by ``first``
+        self.place = np.zeros(0, np.int64)  # in phrases and counts
+        self.phrases: list[str] = []
+        self.counts = np.zeros(0, np.int64)
+
+    def add(self, first: np.ndarray, second: np.ndarray, counts: np.ndarray, phrase: Callable[[int], str]) -> int:
+        """Distinct keys with their counts, sorted by ``first``; ``phrase(i)`` is the i-th one's text.  How many are new."""
+        at = np.searchsorted(self.first, first)
+        known = np.zeros(len(first), bool)
+        inside = at < len(self.first)
+        known[inside] = (self.first[at[inside]] == first[inside]) & (self.second[at[inside]] == second[inside])
+        np.add.at(self.counts, self.place[at[known]], counts[known])
+        new = np.flatnonzero(~known)
+        self.place = np.insert(self.place, at[new], np.arange(len(self.phrases), len(self.phrases) + len(new)))
+        self.first, self.second = np.insert(self.first, at[new], first[new]), np.insert(self.second, at[new], second[new])
+        self.phrases += map(phrase, new.tolist())
+        self.counts = np.concatenate([self.counts, counts[new]])
+        return len(new)
+
+
 def _count(source: DataFrame, known: list, longest: int) -> DataFrame:
     """(lang, phrase, words, n): exact counts of all phrases that the bitmaps of the levels let pass."""
     schema = "lang string, phrase string, words int, n long"
     bitmaps = source.sparkSession.sparkContext.broadcast(known)
 
-    def of(words: Words, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """First places and counts of the distinct candidates."""
+    def add(tally: _Tally, words: Words, length: int) -> int:
         first = words.keys(length)
         at = np.flatnonzero(words.whole(length) & contains(bitmaps.value[length - 1], first))
         if not len(at):
-            return at, at
+            return 0
         first, second = first[at], words.keys(length, 1)[at]
         order = np.argsort(first, kind="stable")
         first, second = first[order], second[order]
         new = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))
-        return at[order[new]], np.diff(np.append(new, len(at)))
+        places = at[order[new]].tolist()
+        return tally.add(first[new], second[new], np.diff(np.append(new, len(at))), lambda i: words.phrase(places[i], length))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, int] = {}
+        held: dict[tuple, _Tally] = {}
+        size = 0
 
-        def send() -> pa.RecordBatch:
-            langs, phrases, lengths = zip(*held) if held else ((), (), ())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(lengths, pa.int32()), pa.array(held.values(), pa.int64())],
-                names=["lang", "phrase", "words", "n"],
-            )
+        def send() -> Iterator[pa.RecordBatch]:
+            for (lang, length), tally in held.items():
+                n = len(tally.phrases)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.DictionaryArray.from_arrays(np.zeros(n, np.int32), [lang]).cast(pa.string()),
+                        pa.array(tally.phrases, pa.string()),
+                        pa.array(np.full(n, length, np.int32)),
+                        pa.array(tally.counts),
+                    ],
+                    names=["lang", "phrase", "words", "n"],
+                )
 
         for batch in batches:
             for (lang,), texts in _by_group(batch, [0]):
                 for data in _slices(texts):
                     words = Words(data, BASES)
-                    for length in range(1, longest + 1):
-                        if len(words) < length:
-                            continue
-                        places, counts = of(words, length)
-                        for at, n in zip(places.tolist(), counts.tolist()):
-                            key = (lang, words.phrase(at, length), length)
-                            held[key] = held.get(key, 0) + n
-            if len(held) >= _HELD >> 3:
-                yield send()
-                held = {}
-        yield send()
+                    for length in range(1, min(longest, len(words)) + 1):
+                        size += add(held.setdefault((lang, length), _Tally()), words, length)
+            if size >= _HELD >> 2:
+                yield from send()
+                held, size = {}, 0
+        yield from send()
 
     counted = source.select("lang", "text").mapInArrow(run, schema)
     return counted.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
