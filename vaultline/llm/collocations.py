@@ -3,8 +3,8 @@
 The documents are dealt into a few logical shards, each spread over many
 tasks.  Every shard is mined completely, level by level, at the support that
 is its share of the global one: a phrase with the global support reaches that
-share in one shard at least.  The union of the locally frequent phrases is
-then counted over all documents, by the phrases themselves, and the exact
+share in one shard at least.  The union of the locally frequent phrases, less
+those whose shards' counts add up to too few, is then counted over all documents, by the phrases themselves, and the exact
 counts decide.
 
 Locally frequent phrases travel to the tasks as a bitmap of bounded size
@@ -109,8 +109,8 @@ def _by_group(batch: pa.RecordBatch, columns: list[int]) -> Iterator[tuple[tuple
     yield from groups.items()
 
 
-def _mine(source: DataFrame, level: Callable[[Words], list[np.ndarray]]) -> DataFrame:
-    """(shard, lang, key, n): the phrases that ``level`` selects, counted per shard and language."""
+def _mine(source: DataFrame, shards: int, level: Callable[[Words], list[np.ndarray]]) -> DataFrame:
+    """(lang, key, by_shard): the phrases that ``level`` selects, with their count in each shard."""
     schema = "shard int, lang string, key long, n long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +145,8 @@ def _mine(source: DataFrame, level: Callable[[Words], list[np.ndarray]]) -> Data
         yield from send()
 
     mined = source.select("shard", "lang", "text").mapInArrow(run, schema)
-    return mined.groupBy("shard", "lang", "key").agg(F.sum("n").alias("n"))
+    each = [F.sum(F.when(F.col("shard") == i, F.col("n")).otherwise(0)) for i in range(shards)]
+    return mined.groupBy("lang", "key").agg(F.array(*each).alias("by_shard"))
 
 
 class _Tally:
@@ -241,18 +242,20 @@ def frequent_phrases(
     source = source.where(F.col("text").isNotNull())
     spark = df.sparkSession
 
-    words = publish(_mine(source, lambda w: [w.keys(1)]), "words")
-    sizes = words.groupBy("shard", "lang").agg(F.sum("n").alias("size"))
-    whole = publish(sizes.groupBy("lang").agg(F.sum("size").alias("n")), "languages")
-    share = publish(
-        sizes.join(whole.withColumnRenamed("n", "total"), "lang").select(
-            "shard", "lang", F.ceil(F.lit(support).cast("decimal(20,0)") * F.col("size") / F.col("total")).cast("long").alias("local")
-        ),
-        "local",
-    )
+    words = publish(_mine(source, shards, lambda w: [w.keys(1)]), "words")
+    sizes = words.groupBy("lang").agg(*[F.sum(F.col("by_shard")[i]).alias(f"s{i}") for i in range(shards)])
+    by_lang = publish(sizes, "sizes")
+    total = sum((F.col(f"s{i}") for i in range(1, shards)), F.col("s0"))
+    whole = publish(by_lang.select("lang", total.alias("n")), "languages")
+    lowered = [F.ceil(F.lit(support).cast("decimal(20,0)") * F.col(f"s{i}") / total).cast("long") for i in range(shards)]
+    share = publish(by_lang.select("lang", F.array(*lowered).alias("local")), "local")
+    discard(by_lang)
 
     def frequent(mined: DataFrame) -> np.ndarray:
-        held = publish(mined.join(share, ["shard", "lang"]).where("n >= local").select("key").distinct(), "frequent")
+        """Locally frequent in some shard; of those, whose shards together stay under the support drop out at once."""
+        somewhere = F.exists(F.arrays_zip("by_shard", "local"), lambda x: (x.by_shard > 0) & (x.by_shard >= x.local))
+        enough = F.aggregate("by_shard", F.lit(0).cast("long"), lambda a, x: a + x) >= support
+        held = publish(mined.join(share, "lang").where(somewhere & enough).select("key").distinct(), "frequent")
         bits = bitmap(held, "key")
         discard(held)
         return bits
@@ -280,9 +283,9 @@ def frequent_phrases(
         return select
 
     if longest >= 2:
-        known.append(frequent(_mine(source, level([2], 1))))
+        known.append(frequent(_mine(source, shards, level([2], 1))))
     if longest >= 3:
-        known += [frequent(_mine(source, level(list(range(3, longest + 1)), 2)))] * (longest - 2)
+        known += [frequent(_mine(source, shards, level(list(range(3, longest + 1)), 2)))] * (longest - 2)
     counts = _count(source, known, longest).where(F.col("n") >= support)
     phrases = publish(counts, "phrases")
     discard(share)
