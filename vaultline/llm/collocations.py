@@ -36,6 +36,7 @@ COVERED_PERCENT = 80
 UNKNOWN = "und"
 _SLICE = 1 << 20  # bytes of text looked at together; a longer piece without punctuation is taken whole
 _HELD = 1 << 21  # keys held before they are summed and sent on
+_PHRASES = 1 << 20  # distinct phrases held with their text, about 110 bytes each
 _TABLE = bytes(
     10 if b in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256)
 )
@@ -213,7 +214,7 @@ def _count(source: DataFrame, known: list, longest: int) -> DataFrame:
                     words = Words(data, BASES)
                     for length in range(1, min(longest, len(words)) + 1):
                         size += add(held.setdefault((lang, length), _Tally()), words, length)
-            if size >= _HELD >> 2:
+            if size >= _PHRASES:
                 yield from send()
                 held, size = {}, 0
         yield from send()
