@@ -79,117 +79,88 @@ LEFT JOIN scores USING (financial_event_key) LEFT JOIN alerts USING (financial_e
 LEFT JOIN flags USING (financial_event_key)""")
 
 
-def _latest(src: str, key: str, order: str, cols: str) -> str:
-    return (f"SELECT {key}, {cols} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {key} ORDER BY {order}) AS rn "
-            f"FROM {src}) WHERE rn = 1")
+def _newest(q: O.Q, table: str, key: str, rank: tuple[str, str], columns: str, where: str = "TRUE") -> str:
+    """The row of each key that comes first by (date, own key), both descending."""
+    return q.add(f"newest_{table}", f"""SELECT DISTINCT ON ({key}) {key}, {columns} FROM {q.silver(table)} WHERE {where}
+ORDER BY {key}, {rank[0]} DESC NULLS LAST, {rank[1]} DESC""")
 
 
 def _gold_c360_sql() -> str:
+    """A party's row from scalar lookups: each measure is one statement about that party."""
     from vaultline.sources.fixtures import ORDER_AS_OF
     q = O.Q()
-    s = {n: q.silver(n) for n in ("party", "party_profile_version", "party_kyc_assessment", "party_employment",
-                                  "party_account_role", "account", "account_balance_snapshot", "payment_card",
-                                  "party_service_request", "call_center_contact", "aml_case",
-                                  "investigation_case")}
-    d = f"DATE '{ORDER_AS_OF[:10]}'"
-    q.add("cpv", _latest(f"(SELECT * FROM {s['party_profile_version']} WHERE is_current)", "party_key",
-                         "effective_from DESC NULLS LAST, party_profile_version_key DESC",
-                         "preferred_contact_method, effective_from"))
-    q.add("lk", _latest(s["party_kyc_assessment"], "party_key", "verified_date DESC NULLS LAST, kyc_assessment_key DESC",
-                        "verification_status, id_type, id_number"))
-    q.add("ce", _latest(f"(SELECT * FROM {s['party_employment']} WHERE effective_to IS NULL)", "party_key",
-                        "effective_from DESC NULLS LAST, employment_key DESC", "employer_name, job_title, monthly_income"))
-    q.add("lb", _latest(f"(SELECT * FROM {s['account_balance_snapshot']} WHERE balance_date >= {d} - 30)",
-                        "account_key", "balance_date DESC NULLS LAST, account_balance_snapshot_key DESC",
-                        "closing_balance"))
-    q.add("cca", f"SELECT account_key, count(DISTINCT CASE WHEN card_status = 'ACTIVE' THEN payment_card_key END) "
-                 f"AS active_card_count FROM {s['payment_card']} GROUP BY account_key")
-    q.add("ao", f"""SELECT par.party_key,
-  count(DISTINCT CASE WHEN par.valid_to IS NULL AND a.account_status = 'ACTIVE' THEN a.account_key END) AS active_account_count,
-  sum(lb.closing_balance) AS total_current_balance, sum(coalesce(cca.active_card_count, 0)) AS active_card_count
-FROM {s['party_account_role']} par JOIN {s['account']} a ON a.account_key = par.account_key
-LEFT JOIN lb ON lb.account_key = a.account_key LEFT JOIN cca ON cca.account_key = a.account_key
-GROUP BY par.party_key""")
-    q.add("so", f"SELECT party_key, count(*) AS open_service_request_count FROM {s['party_service_request']} "
-                f"WHERE request_status NOT IN ('RESOLVED', 'REJECTED') GROUP BY party_key")
-    q.add("co", f"""SELECT party_key,
-  count(CASE WHEN call_timestamp >= CAST({d} - 90 AS TIMESTAMP) THEN 1 END) AS call_center_contact_count_90d,
-  arg_max(call_reason, (call_timestamp, call_center_contact_key)) AS last_call_reason
-FROM {s['call_center_contact']} GROUP BY party_key""")
-    q.add("io", f"""SELECT DISTINCT ac.party_key, TRUE AS open_investigation_flag FROM {s['aml_case']} ac
-JOIN {s['investigation_case']} ic ON ac.investigation_case_key = ic.investigation_case_key
-WHERE ic.case_status NOT IN ('CLOSED', 'RESOLVED')""")
-    return q.sql(f"""SELECT p.party_key, p.party_type, p.party_status, cpv.preferred_contact_method,
-  cpv.effective_from AS profile_effective_from, lk.verification_status AS kyc_verification_status,
-  lk.id_type AS kyc_id_type, sha256('KYC_ID|' || lk.id_number) AS kyc_id_number, ce.employer_name, ce.job_title,
-  CASE WHEN ce.monthly_income IS NULL THEN NULL WHEN ce.monthly_income < 10000000 THEN '<10M'
-       WHEN ce.monthly_income < 30000000 THEN '10-30M' WHEN ce.monthly_income < 100000000 THEN '30-100M'
-       ELSE '100M+' END AS monthly_income_band,
-  coalesce(ao.active_account_count, 0) AS active_account_count, ao.total_current_balance,
-  CAST(coalesce(ao.active_card_count, 0) AS BIGINT) AS active_card_count,
-  coalesce(so.open_service_request_count, 0) AS open_service_request_count,
-  coalesce(co.call_center_contact_count_90d, 0) AS call_center_contact_count_90d, co.last_call_reason,
-  coalesce(io.open_investigation_flag, FALSE) AS open_investigation_flag,
+    day = f"DATE '{ORDER_AS_OF[:10]}'"
+    profile = _newest(q, "party_profile_version", "party_key", ("effective_from", "party_profile_version_key"),
+                      "preferred_contact_method, effective_from AS profile_effective_from", "is_current")
+    kyc = _newest(q, "party_kyc_assessment", "party_key", ("verified_date", "kyc_assessment_key"),
+                  "verification_status, id_type, id_number")
+    job = _newest(q, "party_employment", "party_key", ("effective_from", "employment_key"),
+                  "employer_name, job_title, monthly_income", "effective_to IS NULL")
+    money = _newest(q, "account_balance_snapshot", "account_key", ("balance_date", "account_balance_snapshot_key"),
+                    "closing_balance", f"balance_date >= {day} - 30")
+    q.add("roles", f"""SELECT party_key, account_key, valid_to, account_status
+FROM {q.silver("party_account_role")} SEMI JOIN {q.silver("account")} USING (account_key) LEFT JOIN {q.silver("account")} USING (account_key)""")
+    q.add("live_cards", f"SELECT DISTINCT account_key, payment_card_key FROM {q.silver('payment_card')} WHERE card_status = 'ACTIVE'")
+    calls, cases, aml = q.silver("call_center_contact"), q.silver("investigation_case"), q.silver("aml_case")
+    mine = "x.party_key = p.party_key"
+    return q.sql(f"""SELECT p.party_key, p.party_type, p.party_status, preferred_contact_method, profile_effective_from,
+  verification_status AS kyc_verification_status, id_type AS kyc_id_type, if(id_number IS NULL, NULL, sha256(concat('KYC_ID|', id_number))) AS kyc_id_number,
+  employer_name, job_title,
+  list_extract(['<10M', '10-30M', '30-100M', '100M+'], 1 + (monthly_income >= 10000000)::INT + (monthly_income >= 30000000)::INT
+    + (monthly_income >= 100000000)::INT) AS monthly_income_band,
+  (SELECT count(DISTINCT account_key) FROM roles x WHERE {mine} AND valid_to IS NULL AND account_status = 'ACTIVE') AS active_account_count,
+  (SELECT sum(closing_balance) FROM roles x JOIN {money} USING (account_key) WHERE {mine}) AS total_current_balance,
+  (SELECT count(payment_card_key) FROM roles x JOIN live_cards USING (account_key) WHERE {mine}) AS active_card_count,
+  (SELECT count(*) FROM {q.silver("party_service_request")} x WHERE {mine} AND request_status NOT IN ('RESOLVED', 'REJECTED'))
+    AS open_service_request_count,
+  (SELECT count(*) FROM {calls} x WHERE {mine} AND call_timestamp >= CAST({day} - 90 AS TIMESTAMP)) AS call_center_contact_count_90d,
+  (SELECT max({{'a': call_timestamp, 'b': call_center_contact_key, 'why': call_reason}}).why FROM {calls} x WHERE {mine}) AS last_call_reason,
+  EXISTS (SELECT 1 FROM {aml} x WHERE {mine} AND investigation_case_key IN (SELECT investigation_case_key FROM {cases}
+          WHERE case_status NOT IN ('CLOSED', 'RESOLVED'))) AS open_investigation_flag,
   p.source_system, p.source_business_key, '{O.RUN_ID}' AS pipeline_run_id,
-  CASE WHEN p.data_quality_status = 'QUARANTINED' THEN 'REJECTED_QUALITY'
-       WHEN lk.verification_status IS NULL OR lk.verification_status <> 'VERIFIED' THEN 'WARNING_UNRESOLVED_PARTY'
-       ELSE 'PASSED_CLEAN' END AS dq_status
-FROM {s['party']} p LEFT JOIN cpv ON cpv.party_key = p.party_key LEFT JOIN lk ON lk.party_key = p.party_key
-LEFT JOIN ce ON ce.party_key = p.party_key LEFT JOIN ao ON ao.party_key = p.party_key
-LEFT JOIN so ON so.party_key = p.party_key LEFT JOIN co ON co.party_key = p.party_key
-LEFT JOIN io ON io.party_key = p.party_key
+  if(p.data_quality_status = 'QUARANTINED', 'REJECTED_QUALITY',
+     if(verification_status IS DISTINCT FROM 'VERIFIED', 'WARNING_UNRESOLVED_PARTY', 'PASSED_CLEAN')) AS dq_status
+FROM {q.silver("party")} p LEFT JOIN {profile} USING (party_key) LEFT JOIN {kyc} USING (party_key) LEFT JOIN {job} USING (party_key)
 WHERE p.party_key IS NOT NULL""")
 
 
 def _gold_aml_sql() -> str:
+    """A case's row from scalar lookups over its links, notes and screenings."""
     q = O.Q()
-    s = {n: q.silver(n) for n in ("investigation_case", "aml_case", "suspicious_activity_report",
-                                  "investigation_case_sanctions_screening", "sanctions_screening", "watchlist_entry",
-                                  "investigation_case_fraud_alert", "investigation_case_monitoring_alert",
-                                  "investigation_case_financial_event", "investigation_note")}
-    q.add("acl", _latest(s["aml_case"], "investigation_case_key", "opened_date DESC NULLS LAST, aml_case_key DESC",
-                         "aml_case_key, party_key, risk_level"))
-    q.add("sl", _latest(s["suspicious_activity_report"], "aml_case_key",
-                        "filed_date DESC NULLS LAST, suspicious_activity_report_key DESC",
-                        "filed_date, regulatory_reference, report_status"))
-    q.add("sa", f"""SELECT l.investigation_case_key, count(DISTINCT l.sanctions_screening_key) AS sanctions_screening_count,
-  CAST(max(CASE WHEN ss.screening_result NOT IN ('CLEAR', 'FALSE_POSITIVE') THEN 1 ELSE 0 END) AS BOOLEAN) AS sanctions_hit_flag,
-  max(ss.match_score) AS max_sanctions_match_score,
-  array_to_string(list_sort(list_distinct(list(we.list_type))), ', ') AS linked_watchlist_types
-FROM {s['investigation_case_sanctions_screening']} l
-JOIN {s['sanctions_screening']} ss ON l.sanctions_screening_key = ss.sanctions_screening_key
-LEFT JOIN {s['watchlist_entry']} we ON we.watchlist_entry_key = ss.watchlist_entry_key
-GROUP BY l.investigation_case_key""")
-    q.add("fac", f"SELECT investigation_case_key, count(DISTINCT fraud_alert_key) AS c FROM "
-                 f"{s['investigation_case_fraud_alert']} GROUP BY 1")
-    q.add("mac", f"SELECT investigation_case_key, count(DISTINCT monitoring_alert_key) AS c FROM "
-                 f"{s['investigation_case_monitoring_alert']} GROUP BY 1")
-    q.add("fec", f"SELECT investigation_case_key, count(DISTINCT financial_event_key) AS c FROM "
-                 f"{s['investigation_case_financial_event']} GROUP BY 1")
-    q.add("na", f"SELECT investigation_case_key, count(*) AS c, "
-                f"arg_max(note_text, (note_timestamp, investigation_note_key)) AS latest_note_text "
-                f"FROM {s['investigation_note']} GROUP BY 1")
-    return q.sql(f"""SELECT ic.investigation_case_key, ic.investigation_type, ic.case_origin, ic.case_status, ic.priority,
-  ic.opened_at, ic.closed_at, ic.assigned_analyst_id, acl.party_key, acl.aml_case_key,
-  acl.risk_level AS aml_risk_level, sl.filed_date IS NOT NULL AS sar_filed_flag, sl.filed_date AS sar_filed_date,
-  sl.regulatory_reference AS sar_regulatory_reference, sl.report_status AS sar_report_status,
-  coalesce(sa.sanctions_screening_count, 0) AS sanctions_screening_count,
-  coalesce(sa.sanctions_hit_flag, FALSE) AS sanctions_hit_flag, sa.max_sanctions_match_score,
-  sa.linked_watchlist_types, coalesce(fac.c, 0) AS linked_fraud_alert_count,
-  coalesce(mac.c, 0) AS linked_monitoring_alert_count, coalesce(fec.c, 0) AS linked_financial_event_count,
-  coalesce(na.c, 0) AS investigation_note_count, na.latest_note_text, ic.source_system, ic.source_business_key,
-  '{O.RUN_ID}' AS pipeline_run_id,
-  CASE WHEN acl.aml_case_key IS NOT NULL AND sl.regulatory_reference IS NULL AND ic.case_status = 'CLOSED'
-       THEN 'PENDING_REGULATORY_REF' ELSE 'PASSED_CLEAN' END AS dq_status
-FROM {s['investigation_case']} ic
-LEFT JOIN acl ON acl.investigation_case_key = ic.investigation_case_key
-LEFT JOIN sl ON sl.aml_case_key = acl.aml_case_key
-LEFT JOIN sa ON sa.investigation_case_key = ic.investigation_case_key
-LEFT JOIN fac ON fac.investigation_case_key = ic.investigation_case_key
-LEFT JOIN mac ON mac.investigation_case_key = ic.investigation_case_key
-LEFT JOIN fec ON fec.investigation_case_key = ic.investigation_case_key
-LEFT JOIN na ON na.investigation_case_key = ic.investigation_case_key
-WHERE ic.investigation_case_key IS NOT NULL""")
+    aml = _newest(q, "aml_case", "investigation_case_key", ("opened_date", "aml_case_key"),
+                  "party_key, aml_case_key, risk_level AS aml_risk_level")
+    report = _newest(q, "suspicious_activity_report", "aml_case_key", ("filed_date", "suspicious_activity_report_key"),
+                     "filed_date, regulatory_reference, report_status")
+    q.add("screened", f"""SELECT investigation_case_key, sanctions_screening_key, match_score, list_type,
+  coalesce(screening_result NOT IN ('CLEAR', 'FALSE_POSITIVE'), FALSE) AS hit
+FROM {q.silver("sanctions_screening")} s JOIN {q.silver("investigation_case_sanctions_screening")} USING (sanctions_screening_key)
+LEFT JOIN {q.silver("watchlist_entry")} USING (watchlist_entry_key)""")
+    notes = q.silver("investigation_note")
+    mine = "x.investigation_case_key = i.investigation_case_key"
+
+    def linked(table: str, item: str) -> str:
+        return f"(SELECT count(DISTINCT {item}) FROM {q.silver(table)} x WHERE {mine})"
+
+    def screened(measure: str) -> str:
+        return f"(SELECT {measure} FROM screened x WHERE {mine})"
+
+    return q.sql(f"""SELECT i.investigation_case_key, investigation_type, case_origin, case_status, priority, opened_at, closed_at,
+  assigned_analyst_id, a.party_key, a.aml_case_key, aml_risk_level, filed_date IS NOT NULL AS sar_filed_flag,
+  filed_date AS sar_filed_date, regulatory_reference AS sar_regulatory_reference, report_status AS sar_report_status,
+  {screened("count(DISTINCT sanctions_screening_key)")} AS sanctions_screening_count,
+  {screened("coalesce(bool_or(hit), FALSE)")} AS sanctions_hit_flag,
+  {screened("max(match_score)")} AS max_sanctions_match_score,
+  {screened("if(count(*) = 0, NULL, coalesce(string_agg(DISTINCT list_type, ', ' ORDER BY list_type), ''))")} AS linked_watchlist_types,
+  {linked("investigation_case_fraud_alert", "fraud_alert_key")} AS linked_fraud_alert_count,
+  {linked("investigation_case_monitoring_alert", "monitoring_alert_key")} AS linked_monitoring_alert_count,
+  {linked("investigation_case_financial_event", "financial_event_key")} AS linked_financial_event_count,
+  (SELECT count(*) FROM {notes} x WHERE {mine}) AS investigation_note_count,
+  (SELECT max({{'a': note_timestamp, 'b': investigation_note_key, 'words': note_text}}).words FROM {notes} x WHERE {mine}) AS latest_note_text,
+  i.source_system, i.source_business_key, '{O.RUN_ID}' AS pipeline_run_id,
+  if(case_status = 'CLOSED' AND regulatory_reference IS NULL AND a.aml_case_key IS NOT NULL, 'PENDING_REGULATORY_REF', 'PASSED_CLEAN')
+    AS dq_status
+FROM {q.silver("investigation_case")} i LEFT JOIN {aml} a USING (investigation_case_key)
+LEFT JOIN {report} r ON r.aml_case_key = a.aml_case_key WHERE i.investigation_case_key IS NOT NULL""")
 
 
 register("gold_fraud_transaction", _gold_fraud_sql())(P.gold_fraud)

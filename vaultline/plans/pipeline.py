@@ -1,9 +1,9 @@
 """Wiring: banking sources -> assessment -> validated -> silver -> gold.
 
-Each function returns a lazy DataFrame; nothing is collected.  A caller
-that materialises several outputs of the same run should persist the
-validated sources (``publish`` in ``vaultline.plans.publish`` writes them
-to the shared table location) so the rules run once per source.
+No function collects rows.  Assessed sources and joined silver tables are
+published once per run (written to the shared table location and read back)
+while a query is built, so the rules run once per source; what is built on
+them is lazy.
 """
 
 from __future__ import annotations
@@ -178,28 +178,14 @@ AML_SOURCES = ("investigation_case", "aml_case", "suspicious_activity_report", "
 
 def gold_fraud(spark: SparkSession, sf: str) -> DataFrame:
     assess_all(spark, sf, FRAUD_SOURCES)
-    s = lambda n: silver(spark, sf, n)
-    return G.fraud_transaction_context(
-        s("financial_event"), s("account_posting"), s("card_payment"), s("atm_activity"), s("gateway_payment"),
-        s("transaction_channel"), s("merchant"), s("merchant_location"), s("financial_event_risk_score"),
-        s("financial_event_fraud_alert"), s("fraud_alert"), s("financial_event_card_fraud_flag"), RUN_ID)
+    return G.fraud_transaction_context(lambda name: silver(spark, sf, name), RUN_ID)
 
 
 def gold_customer_360(spark: SparkSession, sf: str) -> DataFrame:
     assess_all(spark, sf, C360_SOURCES)
-    s = lambda n: silver(spark, sf, n)
-    return G.customer_360_context(
-        s("party"), s("party_profile_version"), s("party_kyc_assessment"), s("party_employment"),
-        s("party_account_role"), s("account"), s("account_balance_snapshot"), s("payment_card"),
-        s("party_service_request"), s("call_center_contact"), s("aml_case"), s("investigation_case"),
-        fx.ORDER_AS_OF, RUN_ID)
+    return G.customer_360_context(lambda name: silver(spark, sf, name), fx.ORDER_AS_OF, RUN_ID)
 
 
 def gold_aml(spark: SparkSession, sf: str) -> DataFrame:
     assess_all(spark, sf, AML_SOURCES)
-    s = lambda n: silver(spark, sf, n)
-    return G.aml_investigation_context(
-        s("investigation_case"), s("aml_case"), s("suspicious_activity_report"),
-        s("investigation_case_sanctions_screening"), s("sanctions_screening"), s("watchlist_entry"),
-        s("investigation_case_fraud_alert"), s("investigation_case_monitoring_alert"),
-        s("investigation_case_financial_event"), s("investigation_note"), RUN_ID)
+    return G.aml_investigation_context(lambda name: silver(spark, sf, name), RUN_ID)
