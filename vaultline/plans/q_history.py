@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from vaultline.config import DOMAINS, TABLES, UNTRACKED_COLUMNS
 from vaultline.operators import quarantine as QU
 from vaultline.operators.history import SnapshotHistory
+from vaultline.operators.keycounts import HOLDERS, KeyCounts, repeated_among
+from vaultline.operators.ingest import UPPERCASE_IDENTIFIERS
 from vaultline.operators.scd import END, START
 from vaultline.plans import oracle as O
 from vaultline.plans import pipeline as P
@@ -237,3 +239,56 @@ def _current_sql() -> str:
 
 register("dq_quarantine_current_versions", _current_sql())(_quarantine_current)
 register("stream_quarantine_current_versions", _current_sql())(_stream_quarantine_current)
+
+
+# ------------------------------------------- duplicate lookups from kept counts
+def _counts(spark, sf) -> dict[str, dict[str, KeyCounts]]:
+    """Per source and unique column: holders, added up version by version from the source's log (once per run)."""
+    def build():
+        out = {}
+        for state, t in zip(histories(spark, sf, VERSIONED), VERSIONED):
+            out[t] = {c: KeyCounts(spark, state_root(spark, f"counts-{t}-{c}"), state.schema[c], buckets=16) for c in QU.unique_columns(t)}
+            for kept in out[t].values():
+                kept.catch_up(state)
+        return out
+
+    return fx.memo(spark, sf, ("key-counts",), build)
+
+
+def _holder_counts(spark, sf):
+    """How many values have how many holders, by source and unique column."""
+    parts = [kept.counts().groupBy(HOLDERS).agg(F.count(F.lit(1)).alias("distinct_values"))
+             .select(F.lit(t).alias("source_table_name"), F.lit(c).alias("column_name"), HOLDERS, "distinct_values")
+             for t, columns in _counts(spark, sf).items() for c, kept in columns.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _holder_counts_sql() -> str:
+    """The same counts by regrouping the rows of the last snapshot."""
+    q, parts = O.Q(), []
+    for t in VERSIONED:
+        q.fixture(t)
+        cols = O.fixture_columns(t)
+        key = "concat_ws(':', " + ", ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in source_keys(t, cols)) + ")"
+        order = ", ".join(f"{c} DESC NULLS LAST" for c in cols if c not in TABLES[t].keys)
+        q.add(f"last_{t}", f"""SELECT DISTINCT ON ({key}) * FROM {t} WHERE substr(md5({key}), 1, 1) <> '2' ORDER BY {key}, {order}""")
+        for c in QU.unique_columns(t):
+            value = f"upper(trim({c}))" if c in UPPERCASE_IDENTIFIERS else c
+            parts.append(f"""SELECT '{t}' AS source_table_name, '{c}' AS column_name, holders, count(*) AS distinct_values
+FROM (SELECT count(*) AS holders FROM last_{t} WHERE {c} IS NOT NULL GROUP BY {value}) GROUP BY holders""")
+    return q.sql("\nUNION ALL\n".join(parts))
+
+
+def _stream_quarantine_counted(spark, sf):
+    """The stream of current versions again; duplicate values come from kept counts, not from the whole table."""
+    work = state_root(spark, "quarantine-counted")
+    counts = _counts(spark, sf)
+    sources = [S.SourceStream(t, state.stream(max_files=8), active=state.active_versions,
+                              repeated=lambda batch, t=t: repeated_among(counts[t], batch))
+               for state, t in zip(histories(spark, sf, VERSIONED), VERSIONED)]
+    S.quarantine_streams(sources, f"{work}/out", f"{work}/ckpt", as_of=P.RUN_CLOCK, run_id=P.RUN_ID)
+    return S.quarantine_result(spark, f"{work}/out").select(*_FOUND).distinct()
+
+
+register("bronze_key_holders", _holder_counts_sql())(_holder_counts)
+register("stream_quarantine_kept_counts", _current_sql())(_stream_quarantine_counted)

@@ -76,15 +76,18 @@ def assess_stream(spark: SparkSession, source: DataFrame, table: str, current_pa
 class SourceStream:
     """A source's change rows, and what its cross-row rules look at.
 
-    ``current`` and ``active`` are called once per micro-batch, so each batch
-    sees one state of the table; ``active`` (key, ``__START_AT``) keeps
-    superseded versions from being quarantined again.
+    ``current``, ``active`` and ``repeated`` are called once per micro-batch,
+    so each batch sees one state of the table.  ``active`` (key,
+    ``__START_AT``) keeps superseded versions from being quarantined again.
+    ``repeated`` (batch -> column -> values held several times) takes the place
+    of ``current``: kept counts, read only where the batch has values.
     """
 
     table: str
     changes: DataFrame
-    current: Callable[[], DataFrame]
+    current: Callable[[], DataFrame] | None = None
     active: Callable[[], DataFrame] | None = None
+    repeated: Callable[[DataFrame], Callable[[str], DataFrame]] | None = None
 
 
 def quarantine_streams(sources: Sequence[SourceStream], sink: str, checkpoint: str, as_of: str | None = None,
@@ -97,7 +100,8 @@ def quarantine_streams(sources: Sequence[SourceStream], sink: str, checkpoint: s
     """
     def run(one: SourceStream) -> None:
         def per_batch(batch: DataFrame, batch_id: int) -> None:
-            assessed = Q.assess(batch, one.table, current=one.current(), as_of=as_of)
+            assessed = Q.assess(batch, one.table, current=one.current() if one.current else None, as_of=as_of,
+                                repeated=one.repeated(batch) if one.repeated else None)
             records = Q.quarantine_records(assessed, one.table, run_id, with_timestamp=False,
                                            active_versions=one.active() if one.active else None)
             (records.drop("source_table_name").write.mode("overwrite")
