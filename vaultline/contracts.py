@@ -189,4 +189,26 @@ FOREIGN_KEYS = [
     ("suspicious_activity_report", "case_id", "aml_case", "case_id"),
     ("chargeback", "card_txn_id", "card_transaction", "card_txn_id"),
     ("call_center_log", "case_id", "investigation_case", "case_id"),
+    ("customer_account", "cif_number", "account", "cif_number"),
+    ("account", "customer_ref", "core_banking_customer", "cust_no"),
+    ("account", "cif_number", "core_banking_customer", "cif_number"),
+    ("account_transaction", "customer_ref", "core_banking_customer", "cust_no"),
+    ("log_atm", "account_txn_id", "account_transaction", "account_txn_id"),
+    ("atm_transaction_status_event", "account_txn_id", "account_transaction", "account_txn_id"),
+    ("payment_gateway_status_event", "account_txn_id", "account_transaction", "account_txn_id"),
+    ("payment_gateway_status_event", "card_txn_id", "card_transaction", "card_txn_id"),
+    ("transaction_monitoring_alert", "customer_ref", "core_banking_customer", "cust_no"),
+    ("transaction_monitoring_alert", "primary_account_txn_id", "account_transaction", "account_txn_id"),
+    ("transaction_monitoring_alert_card_transaction", "alert_id", "transaction_monitoring_alert", "alert_id"),
+    ("investigation_case_card_fraud_flag", "case_id", "investigation_case", "case_id"),
+    ("investigation_case_account_transaction", "case_id", "investigation_case", "case_id"),
+    ("investigation_case_card_transaction", "case_id", "investigation_case", "case_id"),
+    ("investigation_case_fraud_alert", "case_id", "investigation_case", "case_id"),
+    ("investigation_case_sanction_screening", "case_id", "investigation_case", "case_id"),
+]
+
+# Declared unique keys beside each source's own key, composite ones as tuples.
+UNIQUE_SEQUENCES = [
+    ("account_transaction_status_event", ("account_txn_id", "sequence_number")),
+    ("payment_gateway_status_event", ("gateway_txn_id", "sequence_number")),
 ]

@@ -7,7 +7,9 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from vaultline import contracts as K
+from vaultline.config import TABLES
 from vaultline.operators import contract as C
+from vaultline.operators import keycheck as KC
 from vaultline.operators.scalar import side_by_side
 from vaultline.plans import oracle as O
 from vaultline.plans import pipeline as P
@@ -97,13 +99,7 @@ register("contract_sequence_unique", _seq_sql())(_seq)
 
 # ------------------------------------------------------- foreign keys
 def _fk(spark, sf):
-    parts = []
-    for child, ccol, parent, pcol in K.FOREIGN_KEYS:
-        orphans = C.foreign_key_orphans(P.bronze(spark, sf, child), ccol, P.bronze(spark, sf, parent), pcol)
-        parts.append(orphans.agg(F.count(F.lit(1)).alias("orphan_records")).select(
-            F.lit(child).alias("child_table"), F.lit(ccol).alias("child_column"),
-            F.lit(parent).alias("parent_table"), F.lit(pcol).alias("parent_column"), "orphan_records"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return KC.reference_orphans(lambda t: P.bronze(spark, sf, t), [KC.Reference(*declared) for declared in K.FOREIGN_KEYS])
 
 
 def _fk_sql() -> str:
@@ -120,6 +116,24 @@ def _fk_sql() -> str:
 
 register("contract_foreign_keys", _fk_sql())(_fk)
 
+# Every source's own key, and the declared sequences of status events.
+UNIQUE_KEYS = [(t, (s.business_key,)) for t, s in TABLES.items()] + K.UNIQUE_SEQUENCES
+
+
+def _unique_sql() -> str:
+    q, parts = O.Q(), []
+    for t, columns in UNIQUE_KEYS:
+        q.normalized(t)
+        where = f"WHERE {columns[0]} IS NOT NULL" if len(columns) == 1 else ""
+        parts.append(f"""SELECT '{t}' AS table_name, '{"+".join(columns)}' AS key_columns, count(*) AS distinct_values,
+  count_if(held > 1) AS repeated_values, CAST(coalesce(sum(held) - count(*), 0) AS BIGINT) AS surplus_records
+FROM (SELECT count(*) AS held FROM r_{t} {where} GROUP BY {", ".join(columns)})""")
+    return q.sql(" UNION ALL ".join(parts))
+
+
+register("contract_unique_keys", _unique_sql())(
+    lambda spark, sf: KC.repeated_keys(lambda t: P.bronze(spark, sf, t), UNIQUE_KEYS))
+
 
 # ------------------------------------------------ cross-table consistency
 def _cross(spark, sf):
