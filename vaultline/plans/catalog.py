@@ -286,3 +286,4 @@ from vaultline.plans import q_monitor  # noqa: E402,F401
 from vaultline.plans import q_stream  # noqa: E402,F401
 from vaultline.plans import q_extra  # noqa: E402,F401
 from vaultline.plans import q_sources  # noqa: E402,F401
+from vaultline.plans import q_rescue  # noqa: E402,F401
