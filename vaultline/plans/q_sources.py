@@ -12,10 +12,12 @@ from vaultline.config import TABLES, UNTRACKED_COLUMNS
 from vaultline.operators import scd
 from vaultline.plans import oracle as O
 from vaultline.plans import pipeline as P
+from vaultline.plans.layouts import FRAUD_CONTEXT
 from vaultline.plans.registry import ORACLE, register
 from vaultline.session import checkpoint_dir
 from vaultline.sources import fixtures as fx
 from vaultline.sources import snapshots as SN
+from vaultline.sources.published import PublishedTable
 
 
 def _snapshot_versions(spark, sf):
@@ -67,14 +69,25 @@ register("ing_legacy_metadata", f"""SELECT o_orderkey, o_orderstatus, DATE '{fx.
   CAST(NULL AS VARCHAR) AS simulation_id, 1 AS cdc_change_op FROM orders""")(_legacy)
 
 
-def _clustered(spark, sf):
-    """The fraud context published range-clustered on (occurred_at, party_key)."""
-    path = f"{P._table_root(spark, sf)}/gold/ai_fraud_transaction_context"
-    SN.write_clustered(P.gold_fraud(spark, sf), path, ["occurred_at", "party_key"])
-    return spark.read.parquet(path)
+def _published(spark, sf) -> PublishedTable:
+    """The fraud context in its declared layout, 32 ranges of (occurred_at, party_key)."""
+    def build():
+        table = PublishedTable(spark, f"{P._table_root(spark, sf)}/gold/ai_fraud_transaction_context", FRAUD_CONTEXT)
+        table.publish(P.gold_fraud(spark, sf).withColumn("ingested_at", F.current_timestamp()), files=32)
+        return table
 
+    return fx.memo(spark, sf, ("published", "fraud"), build)
 
-register("gold_fraud_transaction_published", ORACLE["gold_fraud_transaction"])(_clustered)
+
+register("gold_fraud_transaction_published", ORACLE["gold_fraud_transaction"])(
+    lambda spark, sf: _published(spark, sf).read().drop("ingested_at"))
+
+# Two days of events.
+FROM_DAY, TO_DAY = "2024-01-10 00:00:00", "2024-01-12 00:00:00"
+register("gold_fraud_transaction_days", f"""SELECT * FROM ({ORACLE["gold_fraud_transaction"]}) AS whole
+WHERE occurred_at >= TIMESTAMP '{FROM_DAY}' AND occurred_at < TIMESTAMP '{TO_DAY}'""")(
+    lambda spark, sf: _published(spark, sf).read_between(
+        F.to_timestamp_ntz(F.lit(FROM_DAY)), F.to_timestamp_ntz(F.lit(TO_DAY))).drop("ingested_at"))
 
 AS_OF_KEYS = ["cust_no"]
 

@@ -76,15 +76,19 @@ class AppendLog:
     def versions(self) -> list[int]:
         return _numbers(self._folder.names(""), "version=")
 
-    def append(self, rows: DataFrame, version: int) -> bool:
+    def append(self, rows: DataFrame, version: int, options: dict[str, str] | None = None) -> bool:
         """Commit ``rows`` as ``version``; False, and nothing written, if that version is there."""
         if self._folder.exists(f"version={version}"):
             return False
         draft = f"_drafts/{version}-{uuid.uuid4().hex}"
-        rows.write.parquet(f"{self.root}/{draft}")
+        rows.write.options(**(options or {})).parquet(f"{self.root}/{draft}")
         self._folder.rename(draft, f"version={version}")
         return True
 
+    def drop(self, version: int) -> None:
+        """Remove a version that nobody reads any more."""
+        self._folder.delete(f"version={version}")
+
     def read(self, schema: T.StructType, after: int | None = None, until: int | None = None) -> DataFrame:
         """Rows of the committed versions in (after, until]."""
         taken = [v for v in self.versions() if (after is None or v > after) and (until is None or v <= until)]

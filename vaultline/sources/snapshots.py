@@ -11,8 +11,6 @@ full snapshot per business date.  Version = integer ``yyyyMMdd``.
                              missing paths are skipped; ``None`` when caught up
 * ``read_with_rescue``       text feed -> hinted types plus ``_rescued_data``
                              holding the original text of values that did not cast
-* ``write_clustered``        publish a table range-partitioned and sorted on
-                             its clustering columns (row-group pruning on read)
 """
 
 from __future__ import annotations
@@ -88,14 +86,6 @@ def read_with_rescue(df: DataFrame, hints: str) -> DataFrame:
     return out.withColumns(casted) if casted else out
 
 
-def write_clustered(df: DataFrame, path: str, cluster_by: list[str], mode: str = "overwrite") -> None:
-    """Range-partition on the clustering columns and sort within partitions,
-    so each file covers a narrow key range and Parquet min/max statistics
-    prune row groups for filters on those columns."""
-    df.repartitionByRange(*[F.col(c) for c in cluster_by]).sortWithinPartitions(*cluster_by) \
-        .write.mode(mode).parquet(path)
-
-
 def legacy_path_metadata(df: DataFrame, fallback_date: str) -> DataFrame:
     """Legacy landing: business date and simulation id parsed from the file
     path (``business_date=YYYY-MM-DD``, ``simulation_id=...``), a fixed
