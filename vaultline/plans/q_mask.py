@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from vaultline.config import TABLES
 from vaultline.functions import masking as M
 from vaultline.operators import quarantine as QU
+from vaultline.operators.access import ALL, Access, Tag
 from vaultline.plans import oracle as O
 from vaultline.plans import pipeline as P
-from vaultline.plans.registry import register
+from vaultline.plans.registry import ORACLE, register
 
 # Which customer column feeds each PII type in the all-types check.
 TYPE_SOURCE = {
@@ -208,3 +209,64 @@ def _roundtrip_sql() -> str:
 
 
 register("mask_encrypt_roundtrip", _roundtrip_sql())(_roundtrip)
+
+
+# ------------------------------------------------ readers of silver and gold
+# Tagged columns of the published tables and their types.
+TAGS = [Tag(*t) for t in (
+    ("silver", "party_profile_version", "full_name", "individual_name"),
+    ("silver", "party_profile_version", "address", "address"),
+    ("silver", "party_identifier", "identifier_value", "national_id"),
+    ("silver", "party_kyc_assessment", "id_number", "national_id"),
+    ("silver", "party_employment", "employer_name", "org_name"),
+    ("silver", "party_service_request", "request_description", "narrative"),
+    ("silver", "payment_card", "card_number", "card_number"),
+    ("silver", "merchant_location", "store_name", "store_name"),
+    ("silver", "merchant_location", "store_address", "address"),
+    ("silver", "call_center_contact", "caller_phone", "phone"),
+    ("silver", "call_center_contact", "call_reason", "narrative"),
+    ("silver", "investigation_note", "note_text", "narrative"),
+    ("silver", "watchlist_entry", "entity_name", "individual_name"),
+    ("silver", "sanctions_screening", "screened_name", "individual_name"),
+    ("silver", "gateway_payment", "payment_reference", "narrative"),
+    ("gold", "ai_aml_investigation_context", "latest_note_text", "narrative"),
+    ("gold", "ai_customer_360_context", "employer_name", "org_name"),
+    ("gold", "ai_customer_360_context", "last_call_reason", "narrative"),
+)]
+# Roles: engineers see all, fraud desk sees numbers it must dial or block, everyone else sees masks.
+ACCESS = Access(TAGS, {"engineer": {ALL}, "fraud_desk": {"card_number", "phone"}, "analyst": set()})
+GOLD = {"ai_aml_investigation_context": (P.gold_aml, "gold_aml_investigation"),
+        "ai_customer_360_context": (P.gold_customer_360, "gold_customer_360")}
+_TAGGED = list(dict.fromkeys((t.layer, t.table) for t in TAGS))
+
+
+def _seen_by(role: str):
+    """Every value of the tagged columns as a role sees it, with how many rows hold it; one pass a table."""
+    def build(spark, sf):
+        parts = []
+        for layer, table in _TAGGED:
+            df = GOLD[table][0](spark, sf) if layer == "gold" else P.silver(spark, sf, table)
+            view = ACCESS.view(df, layer, table, role)
+            values = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in ACCESS.of(layer, table)])
+            parts.append(view.select(F.inline(values)).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("records"))
+                         .select(F.lit(f"{layer}.{table}").alias("table_name"), "*"))
+        return reduce(lambda a, b: a.unionByName(b), parts)
+
+    return build
+
+
+def _seen_sql(masked) -> str:
+    """``masked``: the types that the role does not see."""
+    q, parts = O.Q(), []
+    for t in TAGS:
+        source = f"({ORACLE[GOLD[t.table][1]]})" if t.layer == "gold" else q.silver(t.table)
+        value = duck_mask(f"CAST({t.column} AS VARCHAR)", t.pii_type) if t.pii_type in masked else f"CAST({t.column} AS VARCHAR)"
+        parts.append(f"SELECT '{t.layer}.{t.table}' AS table_name, '{t.column}' AS column_name, value, count(*) AS records "
+                     f"FROM (SELECT {value} AS value FROM {source} AS x) GROUP BY value")
+    return q.sql(" UNION ALL ".join(parts))
+
+
+_TYPES = {t.pii_type for t in TAGS}
+register("mask_seen_by_analyst", _seen_sql(_TYPES))(_seen_by("analyst"))
+register("mask_seen_by_fraud_desk", _seen_sql(_TYPES - {"card_number", "phone"}))(_seen_by("fraud_desk"))
+register("mask_seen_by_engineer", _seen_sql(set()))(_seen_by("engineer"))
