@@ -112,15 +112,34 @@ def resolve_references(records: DataFrame, identifiers: DataFrame, key: str, sou
         F.col("business_date"))
 
 
-def curated(records: DataFrame, resolution: DataFrame, key: str, key_prefix: str, hash_prefix: str,
+def curated(records: DataFrame, resolution: DataFrame, key: str, curated_key: Column, source_system: str,
             columns: list) -> DataFrame:
-    """Confirmed records as curated rows keyed to their party."""
-    conf = resolution.filter(F.col("resolution_status") == "CONFIRMED").select(
-        F.col("source_business_key").alias(key), F.col("candidate_party_key").alias("party_key"))
-    j = _open(records).join(conf, key)
-    return j.select(display_key(key_prefix, F.concat(F.lit(hash_prefix + "|"), F.col(key)), 16)
-                    .alias(f"{key_prefix.rstrip('-').lower()}_key"), "party_key", *columns,
-                    F.lit(hash_prefix).alias("source_system"), F.col(key).alias("source_business_key"))
+    """Confirmed records as curated rows: their own key, the party, ``columns``, and where they came from."""
+    party = resolution.filter(F.col("resolution_status") == "CONFIRMED").select(
+        F.col("source_business_key").alias(key), F.col("candidate_party_key").alias("party_key"), "bronze_record_ref")
+    return _open(records).join(party, key).select(
+        curated_key, "party_key", *columns, F.lit(source_system).alias("source_system"),
+        F.col(key).alias("source_business_key"), "bronze_record_ref")
+
+
+def unresolved_evidence(resolution: DataFrame, key: str) -> DataFrame:
+    """What did not resolve, by its own key and status; the resolution alone says it, no source is read."""
+    return resolution.filter(F.col("resolution_status") != "CONFIRMED").select(
+        F.col("source_business_key").alias(key), "resolution_status",
+        F.concat("resolution_status", F.lit("_CUSTOMER_REFERENCE")).alias("quarantine_reason"), "bronze_record_ref")
+
+
+def status_by_reference(resolution: DataFrame) -> DataFrame:
+    """Records by resolution status and by the format of their customer reference."""
+    kind = F.coalesce(reference_type("customer_ref"), F.lit("UNRECOGNISED_FORMAT"))
+    return resolution.groupBy("resolution_status", kind.alias("reference_type")).agg(F.count(F.lit(1)).alias("records"))
+
+
+def curated_checks(rows: DataFrame, key: str) -> DataFrame:
+    """Curated rows, those without a party, and keys given twice, in one row."""
+    return (rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("party_key").isNull()).alias("lost"))
+            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("curated_records"), F.coalesce(F.sum("lost"), F.lit(0)).alias("without_party"),
+                 F.count_if(F.col("n") > 1).alias("duplicate_keys")))
 
 
 def unresolved(records: DataFrame, resolution: DataFrame, key: str, columns: list) -> DataFrame:
