@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultline import contracts as K
@@ -148,7 +149,7 @@ def _cross(spark, sf):
     aml = b("aml_case").alias("a")
     ic = b("investigation_case").alias("i")
     m2 = (aml.join(ic, F.col("a.investigation_case_id") == F.col("i.case_id"))
-          .filter((F.col("i.case_status") == "CLOSED") & F.col("a.closed_date").isNull())
+          .filter((F.col("i.case_status") == "CLOSED") & F.col("a.closed_date").isNull() & F.col("a.risk_level").isNotNull())
           .agg(F.count(F.lit(1)).alias("violations")).select(F.lit("aml_closed_vs_case").alias("check_name"),
                                                             "violations"))
     acc = b("account").alias("ac")
@@ -157,22 +158,46 @@ def _cross(spark, sf):
           .filter((F.col("ac.product_type") == "SAVINGS") & (F.col("bs.closing_balance") < 0))
           .agg(F.count(F.lit(1)).alias("violations")).select(F.lit("savings_negative_balance").alias("check_name"),
                                                             "violations"))
-    return m1.unionByName(m2).unionByName(m3)
+    # An ATM event may lack its account transaction only where the log's type moves no money.
+    m4 = (b("atm_transaction_status_event").join(b("log_atm").select("log_id", "txn_type"), "log_id")
+          .agg(F.count_if(F.col("account_txn_id").isNull() & ~F.col("txn_type").isin(*MOVES_NO_MONEY)).alias("violations"))
+          .select(F.lit("atm_event_vs_log_type").alias("check_name"), "violations"))
+    # A link's table says of which type its case must be: both link tables meet the cases in one join.
+    links = reduce(DataFrame.unionByName, [b(t).select(F.lit(t).alias("link"), F.lit(kind).alias("wanted"), "case_id")
+                                           for t, kind in LINKED_CASE_TYPES.items()])
+    wrong = F.col("investigation_type") != F.col("wanted")
+    m5 = (links.join(b("investigation_case").select("case_id", "investigation_type"), "case_id")
+          .agg(*[F.count_if(wrong & (F.col("link") == t)).alias(t) for t in LINKED_CASE_TYPES])
+          .select(F.inline(F.array(*[F.struct(F.lit(f"{t}_vs_case_type").alias("check_name"), F.col(t).alias("violations"))
+                                     for t in LINKED_CASE_TYPES]))))
+    return reduce(DataFrame.unionByName, [m1, m2, m3, m4, m5])
+
+
+# ATM log types without an account transaction; link table -> type of its cases.
+MOVES_NO_MONEY = ("BALANCE_INQUIRY", "PIN_CHANGE")
+LINKED_CASE_TYPES = {"investigation_case_transaction_monitoring_alert": "AML", "investigation_case_card_fraud_flag": "FRAUD"}
 
 
 def _cross_sql() -> str:
     q = O.Q()
     for t in ("payment_gateway_status_event", "payment_gateway_log", "aml_case", "investigation_case",
-              "account", "balance_snapshot"):
+              "account", "balance_snapshot", "atm_transaction_status_event", "log_atm",
+              "investigation_case_transaction_monitoring_alert", "investigation_case_card_fraud_flag"):
         q.normalized(t)
     return q.sql("""SELECT 'gateway_event_vs_method' AS check_name, count(*) AS violations
 FROM r_payment_gateway_status_event e JOIN r_payment_gateway_log g ON e.gateway_txn_id = g.gateway_txn_id
 WHERE (g.payment_method = 'CARD' AND e.card_txn_id IS NULL)
    OR (g.payment_method = 'ACCOUNT_TRANSFER' AND e.account_txn_id IS NULL)
 UNION ALL SELECT 'aml_closed_vs_case', count(*) FROM r_aml_case a JOIN r_investigation_case i
-  ON a.investigation_case_id = i.case_id WHERE i.case_status = 'CLOSED' AND a.closed_date IS NULL
+  ON a.investigation_case_id = i.case_id WHERE i.case_status = 'CLOSED' AND a.closed_date IS NULL AND a.risk_level IS NOT NULL
 UNION ALL SELECT 'savings_negative_balance', count(*) FROM r_balance_snapshot bs JOIN r_account ac
-  ON bs.account_id = ac.account_id WHERE ac.product_type = 'SAVINGS' AND bs.closing_balance < 0""")
+  ON bs.account_id = ac.account_id WHERE ac.product_type = 'SAVINGS' AND bs.closing_balance < 0
+UNION ALL SELECT 'atm_event_vs_log_type', count(*) FROM r_atm_transaction_status_event e JOIN r_log_atm USING (log_id)
+  WHERE e.account_txn_id IS NULL AND txn_type NOT IN ('BALANCE_INQUIRY', 'PIN_CHANGE')
+UNION ALL SELECT 'investigation_case_transaction_monitoring_alert_vs_case_type', count(*)
+  FROM r_investigation_case_transaction_monitoring_alert JOIN r_investigation_case USING (case_id) WHERE investigation_type <> 'AML'
+UNION ALL SELECT 'investigation_case_card_fraud_flag_vs_case_type', count(*)
+  FROM r_investigation_case_card_fraud_flag JOIN r_investigation_case USING (case_id) WHERE investigation_type <> 'FRAUD'""")
 
 
 register("contract_cross_table", _cross_sql())(_cross)
