@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from vaultline.config import TABLES
+from vaultline.functions import keys as K
 from vaultline.operators import silver as S
 from vaultline.plans import oracle as O
 from vaultline.plans import pipeline as P
@@ -25,7 +26,9 @@ UNIQUE = {**{n: s.unique for n, s in S.SPECS.items() if s.unique}, **JOINED_KEYS
 
 
 def _unique(spark, sf):
-    parts = [S.unique_key_violations(P.silver(spark, sf, n), n, list(k)) for n, k in UNIQUE.items()]
+    """Equal texts have equal keys, so the texts are grouped; only what is reported is hashed."""
+    P.assess_all(spark, sf, list(TABLES))
+    parts = [S.unique_key_violations(P.silver(spark, sf, n, K.TEXT), n, list(k), K.TEXT) for n, k in UNIQUE.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
