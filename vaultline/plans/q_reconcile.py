@@ -142,20 +142,42 @@ register("dq_change_manifest", _manifest_sql())(_manifest)
 
 # ------------------------------------------------ expectations (DQ-10)
 def _expect_or_drop(spark, sf):
+    """Expectation of the contexts on all financial events: an event without a key is dropped; rows kept and dropped by event type."""
+    events = P.silver(spark, sf, "financial_event").select("event_type", "financial_event_key")
+    kept = expect_or_drop(events, {"valid_financial_event_key": F.col("financial_event_key").isNotNull()})
+    rows = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"))
+    held = kept.groupBy("event_type").agg(F.count(F.lit(1)).alias("kept"))
+    kept_rows = F.coalesce("kept", F.lit(0))
+    return rows.join(held, "event_type", "left").select(
+        "event_type", kept_rows.alias("kept_rows"), (F.col("rows") - kept_rows).alias("dropped_rows"))
+
+
+def _expect_sql() -> str:
+    q = O.Q()
+    fe = q.silver("financial_event")
+    return q.sql(f"SELECT event_type, count(financial_event_key) AS kept_rows, "
+                 f"count(*) - count(financial_event_key) AS dropped_rows FROM {fe} "
+                 f"GROUP BY event_type")
+
+
+register("dq_expect_or_drop", _expect_sql())(_expect_or_drop)
+
+
+def _expect_scores(spark, sf):
     """Expectation on the risk scores: a score without an event, or outside 0 to 1, is dropped; the rows that stay are the result."""
     scores = P.bronze(spark, sf, "account_transaction_risk_score").select("score_id", "account_txn_id", "model_score")
     good = {"has_event": F.col("account_txn_id") > 0, "score_in_range": F.col("model_score").between(0, 1)}
     return expect_or_drop(scores, good)
 
 
-def _expect_sql() -> str:
+def _expect_scores_sql() -> str:
     q = O.Q()
     q.normalized("account_transaction_risk_score")
     return q.sql("SELECT score_id, account_txn_id, model_score FROM r_account_transaction_risk_score "
                  "WHERE account_txn_id > 0 AND model_score >= 0 AND model_score <= 1")
 
 
-register("dq_expect_or_drop", _expect_sql())(_expect_or_drop)
+register("dq_expect_or_drop_scores", _expect_scores_sql())(_expect_scores)
 
 
 def _expect_all(spark, sf):
