@@ -162,16 +162,21 @@ register("stream_late_arrival", _stream_late_sql())(_stream_late)
 
 # ------------------------------------------- all sources, one quarantine
 def _quarantine_all(spark, sf):
-    """Every source's rows in several files, a few a micro-batch; duplicates are looked up in the whole source."""
+    """Every source's files in two micro-batches; duplicates are looked up in the whole source, which is counted once, not per batch."""
     from concurrent.futures import ThreadPoolExecutor
 
     work = _workdir(spark, "quarantine-all")
-    fx.load(spark, sf, *ALL_SOURCES)
+    P.assess_all(spark, sf, ALL_SOURCES)
     rows = {t: P.bronze(spark, sf, t) for t in ALL_SOURCES}
+
+    def landed(t: str) -> int:
+        rows[t].write.mode("overwrite").parquet(f"{work}/in/{t}")     # as the source's tasks have it, nothing is shuffled
+        return len(spark.read.schema(rows[t].schema).parquet(f"{work}/in/{t}").inputFiles())
+
     with ThreadPoolExecutor(6) as pool:
-        list(pool.map(lambda t: _land(rows[t], f"{work}/in/{t}", files=3), ALL_SOURCES))
-    sources = [S.SourceStream(t, S.read_stream(spark, f"{work}/in/{t}", rows[t].schema, max_files=2),
-                              lambda t=t: spark.read.schema(rows[t].schema).parquet(f"{work}/in/{t}")) for t in ALL_SOURCES]
+        files = dict(zip(ALL_SOURCES, pool.map(landed, ALL_SOURCES)))
+    sources = [S.SourceStream(t, S.read_stream(spark, f"{work}/in/{t}", rows[t].schema, max_files=-(-files[t] // 2) or 1),
+                              repeated=lambda batch, t=t: lambda column: P.repeated(spark, sf, t, column)) for t in ALL_SOURCES]
     S.quarantine_streams(sources, f"{work}/out", f"{work}/ckpt", as_of=P.RUN_CLOCK, run_id=P.RUN_ID)
     return S.quarantine_result(spark, f"{work}/out").select(
         "source_table_name", "source_business_key", "bronze_record_ref", "failed_rule_name", "quarantine_reason", "pipeline_run_id")
