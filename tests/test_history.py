@@ -89,6 +89,21 @@ def test_a_version_that_failed_after_its_log(spark, state, monkeypatch):
         ("K", "a", 2), ("K", "b", None), ("L", "x", None), (None, "null key", None)}
 
 
+def test_a_version_is_dealt_by_key_once(spark, state, monkeypatch):
+    """Log, closed and open rows come from one aggregate and one write: no join, no second shuffle, no sort for the write."""
+    state.apply(snap(spark, SERIES[1]), 1)
+    plan = state._step(snap(spark, SERIES[2]), 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    monkeypatch.setattr(type(state.open._folder), "write_text", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):  # all is staged and adopted, the manifest is not written
+        state.apply(snap(spark, SERIES[2]), 2)
+    monkeypatch.undo()
+    assert state.latest() == 1 and state.apply(snap(spark, SERIES[2]), 2)
+    assert {(r.key, r.address, r[scd.END]) for r in state.history().collect()} == {
+        ("K", "a", 2), ("K", "b", None), ("L", "x", None), (None, "null key", None)}
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "24"
+
+
 def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     base = spark.range(20_000).select(F.col("id").alias("key"), F.lit("v").alias("value"))
     table = SnapshotHistory(spark, str(tmp_path), base.schema, ["key"], buckets=200)

@@ -7,10 +7,11 @@ it closes an ``update_preimage`` / ``update_postimage`` pair with ``__END_AT``
 set, a change of untracked columns a pair that stays open; without history
 (type 1) a change is a pair and a missing key a ``delete``.
 
-Everything else follows from the log: closed rows are appended, open rows
-change only in the key buckets that the log names.  A version counts once the
-open rows are committed; one that failed before is applied again from its log,
-if that was written, and else from the snapshot.
+The same aggregate gives the closed rows, which are appended, and the open
+rows; all three are staged in one write, so a version's rows are dealt by key
+once.  Open rows are replaced only in the key buckets that the log names.  A
+version counts once the open rows are committed; one that failed before is
+applied again from its log, if that was written, and else from the snapshot.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +29,46 @@ from vaultline.operators.scd import END, START
 from vaultline.sources.committed import AppendLog, BucketTable
 
 CHANGE_TYPE, COMMIT_VERSION = "_change_type", "_commit_version"
+#: Numbers of the log and of closed rows beside the buckets of the open rows, while a version is staged.
+_LOG, _CLOSED, _OPEN = -1, -2, 0
 #: Changes that say what a row is now (a reader of the log takes these).
 AFTER_IMAGES = ("insert", "update_postimage")
 
 
+class _Row(NamedTuple):
+    """A row that keys with one of ``fates`` get: the image it has, where it goes, what its stamps and change type are."""
+
+    fates: str
+    side: str
+    to: int
+    kind: str | None = None
+    opens: bool = False
+    ends: bool = False
+
+
+FATES = ("came", "went", "moved", "touched", "stays")
+_ROWS = {
+    2: [
+        _Row("moved went touched", "o", _LOG, "update_preimage"),
+        _Row("moved went", "o", _LOG, "update_postimage", ends=True),
+        _Row("touched", "s", _LOG, "update_postimage"),
+        _Row("came moved", "s", _LOG, "insert", opens=True),
+        _Row("moved went", "o", _CLOSED, ends=True),
+        _Row("came moved", "s", _OPEN, opens=True),
+        _Row("touched", "s", _OPEN),
+        _Row("stays", "o", _OPEN),
+    ],
+    1: [
+        _Row("moved touched", "o", _LOG, "update_preimage"),
+        _Row("moved touched", "s", _LOG, "update_postimage"),
+        _Row("came", "s", _LOG, "insert"),
+        _Row("went", "o", _LOG, "delete"),
+        _Row("came moved touched", "s", _OPEN),
+        _Row("stays", "o", _OPEN),
+    ],
+}
+
+
 class SnapshotHistory:
     """State of one source under ``root``: ``open``, ``closed`` and ``log``.
 
@@ -73,9 +111,27 @@ class SnapshotHistory:
             if version != latest:
                 self.rejected.append(snapshot, version)
             return False
-        self.log.append(self._changes(snapshot, version), version)
-        changes = self.log.read(self.log_schema, version - 1, version)
-        touched = [r[0] for r in changes.select(self.open.bucket().alias("b")).distinct().collect()]  # at most all buckets
+        if version in self.log.versions():
+            self._redo(version)
+            return True
+        # One write: the change log, the closed rows and the open rows by bucket.
+        first = latest is None
+        folder = self.open.stage(self._step(snapshot, version))
+        self.log.adopt(f"{folder}/bucket={_LOG}", version)
+        if self.scd == 2:
+            self.closed.adopt(f"{folder}/bucket={_CLOSED}", version)
+        self.open.commit(folder, range(self.open.buckets) if first else self._touched(version), version)
+        return True
+
+    def _log_of(self, version: int) -> DataFrame:
+        return self.log.read(self.log_schema, version - 1, version)
+
+    def _touched(self, version: int) -> list[int]:
+        return [r[0] for r in self._log_of(version).select(self.open.bucket().alias("b")).distinct().collect()]  # at most all buckets
+
+    def _redo(self, version: int) -> None:
+        """Commit a version that has its log, from the log."""
+        changes, touched = self._log_of(version), self._touched(version)
         rows = [f.name for f in self.schema.fields]
         after = changes.where(F.col(CHANGE_TYPE).isin(*AFTER_IMAGES))
         if self.scd == 2:
@@ -85,9 +141,9 @@ class SnapshotHistory:
         same = [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in self.keys]
         kept = self.open.read(self.schema, touched).join(changed, same, "left_anti")
         self.open.commit(kept.unionByName(after.select(*rows)), touched, version)
-        return True
 
-    def _changes(self, snapshot: DataFrame, version: int) -> DataFrame:
+    def _step(self, snapshot: DataFrame, version: int) -> DataFrame:
+        """Rows of the change log, closed rows and open rows, told apart by ``bucket``."""
         v, never = F.lit(version).cast("bigint"), F.lit(None).cast("bigint")
         image = F.struct(*[F.col(c) for c in self.data], *([F.col(START)] if self.scd == 2 else []))
         before = self.open.read(self.schema).select(*self.keys, image.alias("o"), F.lit(None).cast(image_type(self)).alias("s"))
@@ -105,25 +161,23 @@ class SnapshotHistory:
         moved = ~came & ~went & differ(self.tracked)
         touched = ~came & ~went & ~moved & differ(self.data)
 
-        def event(when, side: str, kind: str, start=None, end=None):
-            stamps = [(F.col(f"{side}.{START}") if start is None else start).alias(START),
-                      (never if end is None else end).alias(END)] if self.scd == 2 else []
-            row = [F.col(f"{side}.{c}").alias(c) for c in self.data]
-            return F.when(when, F.struct(*row, *stamps, F.lit(kind).alias(CHANGE_TYPE), v.alias(COMMIT_VERSION)))
-
-        if self.scd == 2:
-            events = [
-                event(moved | went | touched, "o", "update_preimage"),
-                event(moved | went, "o", "update_postimage", end=v),
-                event(touched, "s", "update_postimage", start=F.col(f"o.{START}")),
-                event(came | moved, "s", "insert", start=v),
-            ]
-        else:
-            events = [
-                event(moved | touched, "o", "update_preimage"), event(moved | touched, "s", "update_postimage"),
-                event(came, "s", "insert"), event(went, "o", "delete"),
-            ]
-        return both.select(*self.keys, F.inline(F.array_compact(F.array(*events))))
+        # What becomes of a key (a column of its own, as it is compared once), and the rows that say so.
+        fate = F.when(came, "came").when(went, "went").when(moved, "moved").when(touched, "touched").otherwise("stays")
+        rows = _ROWS[self.scd]
+        lists = [F.when(F.col("_fate") == f, F.array(*[F.lit(i) for i, r in enumerate(rows) if f in r.fates.split()])) for f in FATES]
+        out = both.withColumn("_fate", fate).withColumn("_row", F.explode(F.coalesce(*lists)))
+
+        def where(wanted):
+            return F.col("_row").isin([i for i, r in enumerate(rows) if wanted(r)])
+
+        new = where(lambda r: r.side == "s")
+        data = [F.when(new, F.col(f"s.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in self.data]
+        stamps = [F.when(where(lambda r: r.opens), v).otherwise(F.col(f"o.{START}")).alias(START),
+                  F.when(where(lambda r: r.ends), v).alias(END)] if self.scd == 2 else []
+        kind = F.coalesce(*[F.when(where(lambda r: r.kind == k), k) for k in sorted({r.kind for r in rows if r.kind})])
+        bucket = F.when(where(lambda r: r.to == _LOG), _LOG).when(where(lambda r: r.to == _CLOSED), _CLOSED).otherwise(self.open.bucket())
+        stamp = F.when(where(lambda r: r.to == _LOG), v)
+        return out.select(*self.keys, *data, *stamps, kind.alias(CHANGE_TYPE), stamp.alias(COMMIT_VERSION), bucket.alias("bucket"))
 
     def current(self) -> DataFrame:
         """Open rows (type 1: the table)."""

@@ -7,6 +7,8 @@
                    writes the buckets it touches and a manifest (bucket ->
                    version that holds it); untouched buckets stay where they
                    are, and versions that no kept manifest names are deleted.
+* ``stage``        one write of rows for several tables, by number; each table
+                   then adopts its folder, so the rows are computed and dealt once.
 
 Both live under a folder that all executors share.  A failure before the
 rename or the manifest leaves the table as it was.
@@ -45,6 +47,15 @@ class _Folder:
         if not self._fs.rename(self._path(name), self._path(to)):
             raise OSError(f"cannot rename {self.root}/{name} to {to}")
 
+    def take(self, folder: str, to: str) -> None:
+        """Rename a folder given by its whole path; one that is not there becomes an empty folder."""
+        target, source = self._path(to), self._jvm.org.apache.hadoop.fs.Path(folder)
+        self._fs.mkdirs(target.getParent())
+        if not self._fs.exists(source):
+            self._fs.mkdirs(target)
+        elif not self._fs.rename(source, target):
+            raise OSError(f"cannot rename {folder} to {self.root}/{to}")
+
     def delete(self, name: str) -> None:
         self._fs.delete(self._path(name), True)
 
@@ -85,6 +96,13 @@ class AppendLog:
         self._folder.rename(draft, f"version={version}")
         return True
 
+    def adopt(self, folder: str, version: int) -> bool:
+        """Commit a staged folder of this file system as ``version`` (one that is not there: no rows)."""
+        if self._folder.exists(f"version={version}"):
+            return False
+        self._folder.take(folder, f"version={version}")
+        return True
+
     def drop(self, version: int) -> None:
         """Remove a version that nobody reads any more."""
         self._folder.delete(f"version={version}")
@@ -131,15 +149,31 @@ class BucketTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*[f"{self.root}/data/v{held[b]}/bucket={b}" for b in taken])
 
-    def commit(self, rows: DataFrame, touched: Sequence[int], version: int) -> None:
-        """Replace the ``touched`` buckets by ``rows`` (all rows of those buckets) and commit.
+    def stage(self, rows: DataFrame) -> str:
+        """Write rows that carry their ``bucket``, or a negative number that is another table's, as ``<folder>/bucket=<n>``.
+
+        The folder counts for nothing until ``commit`` takes it.
+        """
+        folder = f"{self.root}/_drafts/{uuid.uuid4().hex}"
+        rows.write.partitionBy("bucket").parquet(folder)
+        return folder
+
+    def commit(self, rows: DataFrame | str, touched: Sequence[int], version: int) -> None:
+        """Replace the ``touched`` buckets by ``rows`` (all rows of those buckets; or a staged folder) and commit.
 
         A commit that is run again after a failure writes the same version anew.
         """
         held = self.manifest(version - 1)
-        bucket = self.bucket().alias("bucket")
-        target = f"{self.root}/data/v{version}"
-        rows.select("*", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
+        if isinstance(rows, str):
+            self._folder.delete(f"data/v{version}")
+            draft = rows[len(self.root) + 1:]
+            for b in set(_numbers(self._folder.names(draft), "bucket=")) & set(touched):
+                self._folder.rename(f"{draft}/bucket={b}", f"data/v{version}/bucket={b}")
+            self._folder.delete(draft)
+        else:
+            bucket = self.bucket().alias("bucket")
+            target = f"{self.root}/data/v{version}"
+            rows.select("*", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
         written = set(_numbers(self._folder.names(f"data/v{version}"), "bucket="))
         held = {b: v for b, v in held.items() if b not in set(touched)} | {b: version for b in touched if b in written}
         self._folder.delete(f"_manifests/v{version}")
