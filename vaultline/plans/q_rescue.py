@@ -93,10 +93,13 @@ register("dq_rescued_quarantine", _records_sql())(_records)
 
 def _evolved(spark, sf) -> DataFrame:
     """The same feeds with a schema that grows: the new column is a column, only the broken dates are rescued."""
-    return reduce(DataFrame.unionByName, [
-        _feed(spark, sf, t, True).read().select(F.lit(t).alias("source_table_name"), F.col(TABLES[t].business_key).alias("source_business_key"),
-                                                F.col(date).alias("day"), EXTRA_COLUMN, F.col("_rescued_data").alias("rescued_data_json"))
-        for t, date in FEEDS.items()])
+    parts = []
+    for t, date in FEEDS.items():
+        rows = _feed(spark, sf, t, True).read()
+        extra = F.col(EXTRA_COLUMN) if EXTRA_COLUMN in rows.columns else F.lit(None).cast("string")  # no delivery had it
+        parts.append(rows.select(F.lit(t).alias("source_table_name"), F.col(TABLES[t].business_key).alias("source_business_key"),
+                                 F.col(date).alias("day"), extra.alias(EXTRA_COLUMN), F.col("_rescued_data").alias("rescued_data_json")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _evolved_sql() -> str:
