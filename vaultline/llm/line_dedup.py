@@ -57,8 +57,9 @@ def drop_repeated_lines(
         .where(F.col("count") >= min_documents)
         .select("digest")
     )
+    # posexplode_outer: before a plain posexplode the optimizer tests the array's size, which builds every digest twice.
     dropped = (
-        digests.select("key_a", "key_b", F.posexplode("digests").alias("at", "digest"))
+        digests.select("key_a", "key_b", F.posexplode_outer("digests").alias("at", "digest"))
         .where(F.col("digest").isNotNull())
         .join(frequent, "digest")
         .groupBy("key_a", "key_b")
