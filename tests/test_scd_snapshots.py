@@ -70,3 +70,13 @@ def test_keys_in_two_spellings_are_duplicates(spark):
 
     df = spark.createDataFrame([("CB-1",), (" cb-1 ",), ("CB-2",)], "cust_no STRING")
     assert [r[0] for r in quarantine.duplicate_active_keys(df, "cust_no").collect()] == ["CB-1"]
+
+
+def test_rows_are_dealt_before_the_partial_aggregate_sorts_them(spark):
+    rows = [("K", f"a{i % 40}", v) for v in (1, 2) for i in range(400)] + [(None, "n", 1), (None, "n", 1), ("L", "x", 2)]
+    feed = scd.change_feed(spark.createDataFrame(rows, SCHEMA).coalesce(1), ["key"])
+    plan = feed._jdf.queryExecution().executedPlan().toString()
+    below_partial = plan[plan.index("partial_max"):].split("BroadcastExchange")[0]
+    assert "REBALANCE_PARTITIONS" in below_partial
+    assert _rows(feed.select("key", "address", "_change_type", "_commit_version")) == sorted([
+        ("delete", 2, "n", None), ("insert", 1, "a9", "K"), ("insert", 1, "n", None), ("insert", 2, "x", "L")], key=repr)

@@ -67,11 +67,15 @@ def one_row_per_key(snapshot: DataFrame, keys) -> DataFrame:
 
 def _prepared(snapshots: DataFrame, keys, version, track_except):
     keys = list(keys)
-    snapshots = one_row_per_key_version(snapshots, keys, version).select(*snapshots.columns)
+    cal = F.broadcast(version_calendar(snapshots, version))   # one row per snapshot: bounded
+    # A scan's tasks are as large as its row groups, and the partial aggregate sorts a task's rows (structs
+    # have no hash aggregate): the rows are dealt first, into tasks of the size that AQE aims at.  Dealt by
+    # whole rows, so that a key which a snapshot repeats is still combined in many tasks.
+    dealt = snapshots.hint("rebalance", *[F.col(c) for c in snapshots.columns])
+    snapshots = one_row_per_key_version(dealt, keys, version).select(*snapshots.columns)
     data_cols = [c for c in snapshots.columns if c not in keys and c != version]
     tracked = [c for c in data_cols if c not in set(track_except)]
     untracked = [c for c in data_cols if c in set(track_except)]
-    cal = F.broadcast(version_calendar(snapshots, version))   # one row per snapshot: bounded
     w = Window.partitionBy(*keys).orderBy(version)
     df = (snapshots.join(cal, version)
           .withColumn("_h", _row_hash(tracked))
