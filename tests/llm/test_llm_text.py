@@ -230,3 +230,16 @@ def test_hashes_of_equal_pieces():
     assert h[0] == h[1] and len(set(h.tolist())) == 3
     w = bytehash.windows(data, 2)
     assert w[0] == w[3] == w[6] != w[1] and len(w) == len(data) - 1
+
+
+def test_words_are_encoded_once_whatever_stands_beside_them():
+    """A word that marks or a line break join to others costs the encoder one call, as a word between spaces does."""
+    import regex
+    from public_tokenizers import PATTERN
+
+    from vaultline.llm.tokens import TextEncoder
+
+    calls = []
+    encode = TextEncoder(lambda word: calls.append(word) or [len(word)], regex.compile(PATTERN).findall, None)
+    assert encode("x ab ab.\nCd ab###\nCd\nEf") == encode("x ab ab.\nCd ab###\nCd\nEf")
+    assert sorted(calls) == sorted(["x", " ab", ".", "\n", "Cd", "###", "Ef"])

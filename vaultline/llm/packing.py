@@ -23,6 +23,7 @@ from vaultline.llm.tokens import library_encoder, vocabulary_path
 CAPACITY = 1024
 OPEN_BINS = 64
 END_ID = 2
+PACK_MEMO_BYTES = 96 << 20  # per generation; little else is held in these workers
 _FLUSH_BYTES = 8 << 20
 
 
@@ -109,7 +110,7 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = library_encoder(path)
+        encode = library_encoder(path, memo_bytes=PACK_MEMO_BYTES)
         bins = OpenBins(capacity, open_bins)
         task = TaskContext.get().partitionId() << 40
         end = np.asarray([end_id], "<u4").tobytes()

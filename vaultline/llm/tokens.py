@@ -74,17 +74,20 @@ class TextEncoder:
     """
 
     def __init__(self, encode_word: Callable[[str], list[int]], split: Callable[[str], list[str]], special_id: int | None, memo_bytes: int = MEMO_BYTES) -> None:
-        def first(cut: str) -> bytes:
-            return array("I", chain.from_iterable(map(encode_word, split(cut)))).tobytes()
+        def word(piece: str) -> bytes:
+            return array("I", encode_word(piece)).tobytes()
+
+        def pieces(cut: str) -> bytes:  # words are shared with the cuts that are one word
+            return b"".join([self.rest[x[1:]] if x[0] == " " and x[1:].isalpha() else self.words[x] for x in split(cut)])
 
         def rest(cut: str) -> bytes:
             if cut.isalpha():  # one word
-                return array("I", encode_word(" " + cut)).tobytes()
+                return word(" " + cut)
             if cut[-1:] in _STOPS and cut[:-1].isalpha():  # a word and a mark of its own
                 return self.rest[cut[:-1]] + self.first[cut[-1]]
-            return first(" " + cut)
+            return pieces(" " + cut)
 
-        self.first, self.rest = Memo(first, memo_bytes >> 4), Memo(rest, memo_bytes)
+        self.first, self.rest, self.words = Memo(pieces, memo_bytes >> 4), Memo(rest, memo_bytes), Memo(word, memo_bytes >> 3)
         self.special = None if special_id is None else array("I", [special_id]).tobytes()
 
     def section(self, text: str) -> bytes:
@@ -94,7 +97,7 @@ class TextEncoder:
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
-        self.first, self.rest = self.first.renewed(), self.rest.renewed()
+        self.first, self.rest, self.words = self.first.renewed(), self.rest.renewed(), self.words.renewed()
         if self.special is None or SPECIAL not in text:
             return self.section(text)
         return self.special.join(self.section(x) if x else b"" for x in text.split(SPECIAL))
@@ -113,8 +116,11 @@ def library_encoder(path: str, special_as_text: bool = False, memo_bytes: int =
         specials = {x["content"]: x["id"] for x in json.load(file)["added_tokens"]}
     tokenize = Tokenizer.from_file(path).model.tokenize
     letters = {byte: letter for letter, byte in byte_letters().items()}
+    space = letters[ord(" ")]
 
     def encode_word(word: str) -> list[int]:
+        if word.isascii() and word.isprintable():  # such bytes stand for themselves, but for the space
+            return [x.id for x in tokenize(word.replace(" ", space))]
         return [x.id for x in tokenize(word.encode().decode("latin-1").translate(letters))]
 
     return TextEncoder(encode_word, regex.compile(PATTERN).findall, None if special_as_text else specials.get(SPECIAL), memo_bytes)
