@@ -42,3 +42,13 @@ def test_sequenced_cdc_hot_key_spans_slices_exactly(spark):
         seqs = sorted(r[1] for r in rows if r[0] == k)
         want.update({(k, a): b for a, b in zip(seqs, seqs[1:] + [None])})
     assert got == want
+
+
+def test_sequenced_slices_look_one_row_ahead(spark):
+    """Unique events need no second aggregate; a slice's last event finds its end in the next slice, also for NULL keys."""
+    ev = spark.createDataFrame([(k, p, s, f"v{s}") for k in (None, "a", "b") for p in (None, 1) for s in range(15)],
+                               "k STRING, p BIGINT, seq BIGINT, status STRING")
+    out = scd.scd2_from_changes(ev, ["k", "p"], "seq", slices=7, unique=True)
+    got = {(r.k, r.p, r.status, r[scd.START], r[scd.END]) for r in out.collect()}
+    assert got == {(k, p, f"v{s}", s, s + 1 if s < 14 else None) for k in (None, "a", "b") for p in (None, 1) for s in range(15)}
+    assert out.count() == 90

@@ -179,26 +179,27 @@ def scd2_apply_snapshot(history: DataFrame, snapshot: DataFrame, keys, version:
 
 
 def scd2_from_changes(changes: DataFrame, keys, sequence_by: str, operation: str | None = None,
-                      delete_value: str = "DELETE", slices: int | None = None) -> DataFrame:
+                      delete_value: str = "DELETE", slices: int | None = None, unique: bool = False) -> DataFrame:
     """Sequenced change events -> SCD2 (out-of-order arrival is fine).
 
     Events are ordered by ``sequence_by`` per key; each non-delete event
     opens a version ending at the key's next event; a delete event only
     closes the previous version.  Ties on the sequence keep the last row
-    by all columns (deterministic).
+    by all columns (deterministic); ``unique`` says that there are none.
 
     Hot keys: the events are range-partitioned on (key, sequence) into
     ``slices`` ordered slices, so one key's history can span many tasks.
-    ``lead`` runs per (key, slice); the last event of a slice takes the
-    first sequence of the key's next slice, looked up from one row per
-    (key, slice).  The slice count is explicit, so AQE keeps it as is and
+    ``lead`` runs per (key, slice); only the last event of a slice can go on
+    in the next one, and takes that slice's first sequence if the key is the
+    same: one row per slice, broadcast.  The slice count is explicit, so AQE keeps it as is and
     the slice ids are the range order; they are checkpointed once so every
     reader sees the same ones."""
     keys = list(keys)
     data = [c for c in changes.columns if c not in keys and c != sequence_by]
-    dedup = (changes.groupBy(*keys, sequence_by)
-             .agg(F.max(F.struct(*[F.col(c) for c in data])).alias("_r"))
-             .select(*keys, sequence_by, *[F.col(f"_r.{c}").alias(c) for c in data]))
+    dedup = changes if unique else (
+        changes.groupBy(*keys, sequence_by)
+        .agg(F.max(F.struct(*[F.col(c) for c in data])).alias("_r"))
+        .select(*keys, sequence_by, *[F.col(f"_r.{c}").alias(c) for c in data]))
     n = slices or int(changes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Range bounds come from sampling, so the slice ids are written once
     # (checkpoint in the shared folder) and both branches below read them.
@@ -209,16 +210,13 @@ def scd2_from_changes(changes: DataFrame, keys, sequence_by: str, operation: str
               .withColumn("_slice", F.spark_partition_id()).checkpoint())
     in_slice = sliced.withColumn(
         "_next", F.lead(sequence_by).over(Window.partitionBy(*keys, "_slice").orderBy(sequence_by)))
-    firsts = sliced.groupBy(*keys, "_slice").agg(F.min(sequence_by).alias("_first"))
-    following = firsts.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_slice").alias("_s"),
-        F.lead("_first").over(Window.partitionBy(*keys).orderBy("_slice")).alias("_next_slice_first"))
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys],
-                F.col("_slice") == F.col("_s"))
-    out = (in_slice.join(following, on, "left")
-           .withColumn(END, F.coalesce(F.col("_next"), F.col("_next_slice_first")))
+    firsts = sliced.groupBy("_slice").agg(F.min(F.struct(*keys, sequence_by)).alias("_first"))
+    following = firsts.select(F.col("_slice").alias("_s"), F.lead("_first").over(Window.orderBy("_slice")).alias("_after"))  # a row per slice
+    goes_on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_after.{k}")) for k in keys])
+    out = (in_slice.join(F.broadcast(following), F.col("_slice") == F.col("_s"), "left")
+           .withColumn(END, F.coalesce(F.col("_next"), F.when(goes_on, F.col(f"_after.{sequence_by}"))))
            .withColumn(START, F.col(sequence_by))
-           .drop("_next", "_next_slice_first", "_slice", "_s", *[f"_k_{k}" for k in keys]))
+           .drop("_next", "_after", "_slice", "_s"))
     if operation:
         out = out.filter(F.col(operation) != F.lit(delete_value)).drop(operation)
     return out.drop(sequence_by)

@@ -193,16 +193,20 @@ _register_all()
 
 
 # --------------------------------------------- sequenced change events
+PARTS = 5  # deliveries of the status events
+
+
 def _sequenced(spark, sf):
-    """Status events delivered in five files in no order of their sequence, one a micro-batch."""
+    """Status events delivered in five parts in no order of their sequence, about one a micro-batch."""
     work = _workdir(spark, "sequenced")
     ev = fx.source(spark, sf, "account_transaction_status_event").select(
         "account_txn_id", "sequence_number", "status", "status_timestamp")
-    for part in range(5):
-        at = F.pmod(F.xxhash64("account_txn_id", "sequence_number"), F.lit(5)) == part
-        ev.where(at).coalesce(1).write.mode("append").parquet(f"{work}/in")
+    for part in range(PARTS):
+        at = F.pmod(F.xxhash64("account_txn_id", "sequence_number"), F.lit(PARTS)) == part
+        ev.where(at).write.mode("append").parquet(f"{work}/in")      # as the source's tasks have it, not by one task
+    files = len(spark.read.schema(ev.schema).parquet(f"{work}/in").inputFiles())
     state = S.SequencedHistory(spark, f"{work}/state", ev.schema, ["account_txn_id"], "sequence_number", buckets=16)
-    S.sequenced_stream(S.read_stream(spark, f"{work}/in", ev.schema, max_files=1), state, f"{work}/ckpt")
+    S.sequenced_stream(S.read_stream(spark, f"{work}/in", ev.schema, max_files=-(-files // PARTS) or 1), state, f"{work}/ckpt")
     return state.history()
 
 

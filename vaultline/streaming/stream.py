@@ -141,7 +141,7 @@ class SequencedHistory:
                .agg(F.max(F.struct(*data)).alias("r")).select(*self.keys, self.sequence_by, "r.*"))
         self.events.commit(one.select(*self.schema.names), touched, number)
         now = self.events.read(self.schema, touched)
-        derived = scd.scd2_from_changes(now, self.keys, self.sequence_by, self.operation, self.delete_value)
+        derived = scd.scd2_from_changes(now, self.keys, self.sequence_by, self.operation, self.delete_value, unique=True)
         self.versions.commit(derived.select(*self.history_schema.names), touched, number)
 
     def history(self) -> DataFrame:
