@@ -114,3 +114,20 @@ def test_expectations(spark):
     assert [r.id for r in expect_or_drop(df, good).collect()] == [1]
     counts = {r.expectation: (r.passed_records, r.failed_records) for r in expectation_counts(df, good).collect()}
     assert counts == {"has_id": (3, 1), "in_range": (2, 2), "*": (1, 3)}
+
+
+def test_open_rows_are_looked_up_a_fixed_number_of_times(spark, tmp_path):
+    """A log of many files makes large batches, not many."""
+    from vaultline.operators.history import SnapshotHistory
+
+    ids = [f"KYC-{i}" for i in range(6)]
+    rows = spark.createDataFrame([(i, "x") for i in ids], "kyc_id STRING, note STRING")
+    state = SnapshotHistory(spark, f"{tmp_path}/state", rows.schema, ["kyc_id"], buckets=4)
+    for version in range(1, 9):
+        state.apply(rows.withColumn("note", F.lit(f"v{version}")), version)
+    assert len(state.log.read(state.log_schema).inputFiles()) >= 8
+    seen = []
+    stream = state.stream(max_files=1, at_most=3)
+    (stream.writeStream.foreachBatch(lambda batch, n: seen.append(batch.count())).option("checkpointLocation", f"{tmp_path}/ckpt")
+     .trigger(availableNow=True).start().awaitTermination())
+    assert len(seen) <= 3 and sum(seen) == state.changes().count()

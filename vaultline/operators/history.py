@@ -197,8 +197,15 @@ class SnapshotHistory:
         """Rows of the log that say what a row is now, of versions in (after, until]."""
         return self.log.read(self.log_schema, after, until).where(F.col(CHANGE_TYPE).isin(*kinds))
 
-    def stream(self, kinds: Sequence[str] = AFTER_IMAGES, max_files: int | None = None) -> DataFrame:
-        """The log as a stream of those rows."""
+    def stream(self, kinds: Sequence[str] = AFTER_IMAGES, max_files: int | None = None, at_most: int | None = None) -> DataFrame:
+        """The log as a stream of those rows.
+
+        ``at_most`` bounds the micro-batches that the files there are now make: a reader that looks into the whole
+        table once a batch then costs a fixed number of looks, as a larger log makes its batches larger, not more.
+        """
+        if at_most:
+            files = len(self.log.read(self.log_schema).inputFiles())
+            max_files = max(max_files or 1, -(-files // at_most))
         return self.log.stream(self.log_schema, max_files).where(F.col(CHANGE_TYPE).isin(*kinds))
 
 

@@ -200,6 +200,7 @@ register("bronze_rebuilt_from_log", _rebuilt_sql())(_rebuilt)
 
 
 # ------------------------------------ only current versions are quarantined
+LOOKS = 4  # micro-batches of a log whose reader looks up the open rows in each
 VERSIONED = tuple(t for t, s in TABLES.items() if s.domain == "customer" and s.scd == 2)
 _FOUND = ("source_table_name", "source_business_key", "failed_rule_name")
 
@@ -216,7 +217,7 @@ def _quarantine_current(spark, sf):
 def _stream_quarantine_current(spark, sf):
     """The same, reading the logs as streams; the current versions are looked up once per micro-batch."""
     work = state_root(spark, "quarantine-current")
-    sources = [S.SourceStream(t, state.stream(max_files=8), state.current, state.active_versions)
+    sources = [S.SourceStream(t, state.stream(max_files=8, at_most=LOOKS), state.current, state.active_versions)
                for state, t in zip(histories(spark, sf, VERSIONED), VERSIONED)]
     S.quarantine_streams(sources, f"{work}/out", f"{work}/ckpt", as_of=P.RUN_CLOCK, run_id=P.RUN_ID)
     return S.quarantine_result(spark, f"{work}/out").select(*_FOUND).distinct()
@@ -283,7 +284,7 @@ def _stream_quarantine_counted(spark, sf):
     """The stream of current versions again; duplicate values come from kept counts, not from the whole table."""
     work = state_root(spark, "quarantine-counted")
     counts = _counts(spark, sf)
-    sources = [S.SourceStream(t, state.stream(max_files=8), active=state.active_versions,
+    sources = [S.SourceStream(t, state.stream(max_files=8, at_most=LOOKS), active=state.active_versions,
                               repeated=lambda batch, t=t: repeated_among(counts[t], batch))
                for state, t in zip(histories(spark, sf, VERSIONED), VERSIONED)]
     S.quarantine_streams(sources, f"{work}/out", f"{work}/ckpt", as_of=P.RUN_CLOCK, run_id=P.RUN_ID)

@@ -176,7 +176,7 @@ def _quarantine_all(spark, sf):
     with ThreadPoolExecutor(6) as pool:
         files = dict(zip(ALL_SOURCES, pool.map(landed, ALL_SOURCES)))
     sources = [S.SourceStream(t, S.read_stream(spark, f"{work}/in/{t}", rows[t].schema, max_files=-(-files[t] // 2) or 1),
-                              repeated=lambda batch, t=t: lambda column: P.repeated(spark, sf, t, column)) for t in ALL_SOURCES]
+                              repeated=lambda batch, t=t: lambda column: P.repeated(spark, sf, t, column), stored=True) for t in ALL_SOURCES]
     S.quarantine_streams(sources, f"{work}/out", f"{work}/ckpt", as_of=P.RUN_CLOCK, run_id=P.RUN_ID)
     return S.quarantine_result(spark, f"{work}/out").select(
         "source_table_name", "source_business_key", "bronze_record_ref", "failed_rule_name", "quarantine_reason", "pipeline_run_id")

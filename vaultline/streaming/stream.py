@@ -80,7 +80,8 @@ class SourceStream:
     so each batch sees one state of the table.  ``active`` (key,
     ``__START_AT``) keeps superseded versions from being quarantined again.
     ``repeated`` (batch -> column -> values held several times) takes the place
-    of ``current``: kept counts, read only where the batch has values.
+    of ``current``: kept counts, read only where the batch has values.  ``stored``
+    says that these values are read from files as they are.
     """
 
     table: str
@@ -88,6 +89,7 @@ class SourceStream:
     current: Callable[[], DataFrame] | None = None
     active: Callable[[], DataFrame] | None = None
     repeated: Callable[[DataFrame], Callable[[str], DataFrame]] | None = None
+    stored: bool = False
 
 
 def quarantine_streams(sources: Sequence[SourceStream], sink: str, checkpoint: str, as_of: str | None = None,
@@ -100,8 +102,16 @@ def quarantine_streams(sources: Sequence[SourceStream], sink: str, checkpoint: s
     """
     def run(one: SourceStream) -> None:
         def per_batch(batch: DataFrame, batch_id: int) -> None:
-            assessed = Q.assess(batch, one.table, current=one.current() if one.current else None, as_of=as_of,
-                                repeated=one.repeated(batch) if one.repeated else None)
+            current = one.current() if one.current else batch
+            lookup = one.repeated(batch) if one.repeated else lambda column: Q.repeated_values(current, column)
+
+            def landed(column: str) -> DataFrame:
+                # Of files Spark knows the size: few values are broadcast, and the batch's rows are not dealt for them.
+                values, path = lookup(column), f"{sink}/_repeated/{one.table}/{column}/{batch_id}"
+                values.write.mode("overwrite").parquet(path)
+                return batch.sparkSession.read.schema(values.schema).parquet(path)
+
+            assessed = Q.assess(batch, one.table, as_of=as_of, repeated=lookup if one.stored else landed)
             records = Q.quarantine_records(assessed, one.table, run_id, with_timestamp=False,
                                            active_versions=one.active() if one.active else None)
             (records.drop("source_table_name").write.mode("overwrite")
