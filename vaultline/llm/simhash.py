@@ -144,7 +144,9 @@ def links(distinct: DataFrame, radius: int = MAX_BITS, tile: int = TILE) -> Data
         "fp",
         F.inline(F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(signed)])),
     )
-    shared = keyed.groupBy("t", "key").count().where("count > 1")
+    # Both sides are as many times longer than Spark thinks as there are masks (a generator adds nothing to its
+    # estimate), so neither may be broadcast on that size.
+    shared = keyed.groupBy("t", "key").count().where("count > 1").hint("merge")
     tiled = keyed.join(shared, ["t", "key"]).withColumn("n", F.ceil(F.col("count") / tile).cast("int"))
     tiled = tiled.withColumn("i", F.pmod(F.xxhash64("fp"), F.col("n")).cast("int"))
     others = F.filter(F.sequence(F.lit(0), F.col("n") - 1), lambda u: u != F.col("i"))
