@@ -4,6 +4,10 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
+from tests.conftest import SF_SMALL
+from vaultline.session import shuffles_end_with_write
+from vaultline.sources import fixtures as fx
 from vaultline.sources.published import Layout, LayoutError, PublishedTable
 
 LAYOUT = Layout((("k", "string", "the key"), ("day", "int", "when"), ("amount", "decimal(12,2)", "how much")), ("day", "k"), ("k",))
@@ -14,6 +18,11 @@ def rows(spark, n, day=None):
     return spark.range(n).select(F.col("id").cast("string").alias("k"), day.alias("day"), (F.col("id") / 2).cast("decimal(12,2)").alias("amount"))
 
 
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+    return {f for f in files if "/shuffle_" in f}
+
+
 def test_a_frame_that_differs_is_refused(spark, tmp_path):
     table = PublishedTable(spark, f"{tmp_path}/t", LAYOUT)
     with pytest.raises(LayoutError) as error:
@@ -54,3 +63,30 @@ def test_versions(spark, tmp_path):
     assert table.read().count() == 6
     table.publish(rows(spark, 8))
     assert table.read().count() == 8
+
+
+def test_long_values_are_made_where_rows_are_written(spark, tmp_path):
+    table = PublishedTable(spark, f"{tmp_path}/t", LAYOUT)
+    table.publish(rows(spark, 2000).orderBy(F.rand(5)), files=10, made={"k": F.sha2("k", 256)})
+    want = {(r.day, r.k) for r in rows(spark, 2000).withColumn("k", F.sha2("k", 256)).collect()}
+    assert {(r.day, r.k) for r in table.read().collect()} == want
+    assert len(table.read_between(F.lit(100), F.lit(120)).inputFiles()) <= 2
+    with pytest.raises(LayoutError):
+        table.publish(rows(spark, 3), made={"k": F.lit(1)})
+
+
+def test_the_published_context_leaves_no_shuffle_files(spark):
+    """Its joins and the dealing of its rows are off the disk once they are written."""
+    before = shuffle_files(spark)
+    fx.forget()
+    got = E.queries()["gold_fraud_transaction_published"](spark, SF_SMALL)
+    assert not shuffle_files(spark) - before
+    want = E.queries()["gold_fraud_transaction"](spark, SF_SMALL)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect()))
+
+
+def test_the_setting_is_put_back(spark):
+    name, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    with shuffles_end_with_write(spark), shuffles_end_with_write(spark):
+        seen.append(spark.conf.get(name))
+    assert seen == ["true"] and spark.conf.get(name, None) in (None, "false")

@@ -9,12 +9,13 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from vaultline.config import TABLES, UNTRACKED_COLUMNS
+from vaultline.functions.keys import hash_of_text
 from vaultline.operators import scd
 from vaultline.plans import oracle as O
 from vaultline.plans import pipeline as P
 from vaultline.plans.layouts import FRAUD_CONTEXT
 from vaultline.plans.registry import ORACLE, register
-from vaultline.session import checkpoint_dir
+from vaultline.session import COMPACT, checkpoint_dir
 from vaultline.sources import fixtures as fx
 from vaultline.sources import snapshots as SN
 from vaultline.sources.published import PublishedTable
@@ -73,7 +74,9 @@ def _published(spark, sf) -> PublishedTable:
     """The fraud context in its declared layout, 32 ranges of (occurred_at, party_key)."""
     def build():
         table = PublishedTable(spark, f"{P._table_root(spark, sf)}/gold/ai_fraud_transaction_context", FRAUD_CONTEXT)
-        table.publish(P.gold_fraud(spark, sf).withColumn("ingested_at", F.current_timestamp()), files=32)
+        # Stored with text keys first: its joins are off the disk before its rows are dealt, and hashes never travel.
+        texts = P.publish(spark, sf, "fraud", "context", lambda: P.fraud_texts(spark, sf), COMPACT)
+        table.publish(texts, files=32, made={k: hash_of_text(k) for k in P.FRAUD_KEYS} | {"ingested_at": F.current_timestamp()})
         return table
 
     return fx.memo(spark, sf, ("published", "fraud"), build)

@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vaultline.session import COMPACT, shuffles_end_with_write
+
 
 class _Folder:
     """Hadoop file system calls below one root."""
@@ -92,7 +94,8 @@ class AppendLog:
         if self._folder.exists(f"version={version}"):
             return False
         draft = f"_drafts/{version}-{uuid.uuid4().hex}"
-        rows.write.options(**(options or {})).parquet(f"{self.root}/{draft}")
+        with shuffles_end_with_write(self.spark):
+            rows.write.options(**(options or {})).parquet(f"{self.root}/{draft}")
         self._folder.rename(draft, f"version={version}")
         return True
 
@@ -155,7 +158,8 @@ class BucketTable:
         The folder counts for nothing until ``commit`` takes it.
         """
         folder = f"{self.root}/_drafts/{uuid.uuid4().hex}"
-        rows.write.partitionBy("bucket").parquet(folder)
+        with shuffles_end_with_write(self.spark):
+            rows.write.options(**COMPACT).partitionBy("bucket").parquet(folder)
         return folder
 
     def commit(self, rows: DataFrame | str, touched: Sequence[int], version: int) -> None:
@@ -173,7 +177,8 @@ class BucketTable:
         else:
             bucket = self.bucket().alias("bucket")
             target = f"{self.root}/data/v{version}"
-            rows.select("*", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
+            with shuffles_end_with_write(self.spark):
+                rows.select("*", bucket).repartition("bucket").write.mode("overwrite").options(**COMPACT).partitionBy("bucket").parquet(target)
         written = set(_numbers(self._folder.names(f"data/v{version}"), "bucket="))
         held = {b: v for b, v in held.items() if b not in set(touched)} | {b: version for b in touched if b in written}
         self._folder.delete(f"_manifests/v{version}")

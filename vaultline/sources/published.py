@@ -13,7 +13,7 @@ not at all.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,19 +65,25 @@ class PublishedTable:
         self.rows = AppendLog(spark, f"{root.rstrip('/')}/rows")
         self.files = AppendLog(spark, f"{root.rstrip('/')}/files")
 
-    def publish(self, df: DataFrame, files: int | None = None, rows_per_file: int = 5_000_000) -> int:
+    def publish(self, df: DataFrame, files: int | None = None, rows_per_file: int = 5_000_000,
+                made: Mapping[str, Column] | None = None) -> int:
         """Write ``df`` as the next version and return its number.
 
         ``files`` is the number of ranges (by default Spark's shuffle
         partitions, which adaptive execution may merge).  Equal ordering keys
         are dealt on by a hash of the row, so a hot key spans several files.
+        ``made`` are columns that are computed where a row is written, so that
+        long values (hashes) do not travel; they may replace what they are
+        computed from.
         """
-        rows = self.layout.enforced(df)
+        made = dict(made or {})
         version = max([*self.rows.versions(), 0]) + 1
-        order = [F.col(c) for c in self.layout.order_by]
-        ranges = [*order, F.xxhash64(*[F.col(c) for c in rows.columns])]
-        ranged = rows.repartitionByRange(files, *ranges) if files else rows.repartitionByRange(*ranges)
-        self.rows.append(ranged.sortWithinPartitions(*order), version, {"maxRecordsPerFile": str(rows_per_file)})
+        ranges = [*[made.get(c, F.col(c)) for c in self.layout.order_by], F.xxhash64(*[F.col(c) for c in df.columns])]
+        self.layout.enforced(df.withColumns(made))
+        ranged = df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
+        rows = self.layout.enforced(ranged.withColumns(made))
+        self.rows.append(rows.sortWithinPartitions(*self.layout.order_by), version,
+                         {"maxRecordsPerFile": str(rows_per_file), "compression": "zstd"})
         first = F.col(self.layout.order_by[0])
         covered = self._version(version).groupBy(F.col("_metadata.file_path").alias("file")).agg(
             F.min(first).alias("low"), F.max(first).alias("high"), F.count(F.lit(1)).alias("rows"))
