@@ -30,6 +30,8 @@ from vaultline.streaming import stream as S
 
 VERSIONS = (20260705, 20260706, 20260707)
 AT_ONCE = 6  # sources whose jobs are submitted side by side
+#: Sources that Spark sizes above this go one at a time: each fills the cluster, and its shuffle files the disks, by itself.
+ONE_BY_ONE_BYTES = 128 << 20
 CUSTOMER_VERSIONS = tuple(20260705 + i for i in range(6))
 
 
@@ -64,8 +66,14 @@ def history(spark: SparkSession, sf: str, table: str) -> SnapshotHistory:
 
 def histories(spark: SparkSession, sf: str, tables) -> list[SnapshotHistory]:
     fx.load(spark, sf, *tables)
-    with ThreadPoolExecutor(AT_ONCE) as pool:
-        return list(pool.map(lambda t: history(spark, sf, t), tables))
+    with ThreadPoolExecutor(AT_ONCE) as small, ThreadPoolExecutor(1) as large:
+        jobs = [(large if sized(fx.source(spark, sf, t)) > ONE_BY_ONE_BYTES else small).submit(history, spark, sf, t) for t in tables]
+        return [job.result() for job in jobs]
+
+
+def sized(df: DataFrame) -> int:
+    """Bytes that Spark estimates; far too many for a join, never for a scan."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def _history(spark: SparkSession, sf: str, table: str) -> SnapshotHistory:
